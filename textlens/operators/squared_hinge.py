@@ -1,0 +1,112 @@
+"""Linear SVM with squared hinge loss: the loss MLlib's LinearSVC does not offer.
+
+Every step sums loss and gradient over all rows: each partition returns one small array (numpy over Arrow
+columns) and Spark adds these up as a tree. The driver only holds arrays of model size.
+"""
+
+from collections.abc import Callable
+
+import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def _loss_sums(rows: DataFrame, size: int, cost: float) -> Callable[[np.ndarray], tuple[float, np.ndarray]]:
+    """Objective and gradient at given weights (the last one is the intercept, penalised as well)."""
+    context = rows.sparkSession.sparkContext
+
+    def evaluate(weights: np.ndarray) -> tuple[float, np.ndarray]:
+        shared = context.broadcast(weights)
+
+        def partition_sums(batches):
+            import numpy as np
+            import pyarrow as pa
+
+            w = shared.value
+            total = np.zeros(size + 2)
+            for batch in batches:
+                y = batch.column("target").to_numpy()
+                positions = batch.column("positions")
+                lengths = positions.value_lengths().fill_null(0).to_numpy()
+                at = positions.flatten().to_numpy()
+                values = batch.column("weights").flatten().to_numpy()
+                row = np.repeat(np.arange(len(y)), lengths)
+                margin = np.bincount(row, weights=values * w[at], minlength=len(y)) + w[size]
+                slack = np.maximum(0.0, 1.0 - y * margin)
+                pull = -2.0 * cost * y * slack
+                total[:size] += np.bincount(at, weights=values * pull[row], minlength=size)
+                total[size] += pull.sum()
+                total[size + 1] += cost * (slack**2).sum()
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        parts = rows.mapInArrow(partition_sums, "sums binary").rdd.map(lambda r: np.frombuffer(r[0]))
+        total = parts.treeReduce(lambda a, b: a + b)
+        shared.unpersist()
+        return total[-1] + 0.5 * weights @ weights, total[:-1] + weights
+
+    return evaluate
+
+
+def minimise(
+    evaluate: Callable, start: np.ndarray, tolerance: float, max_iterations: int, memory: int = 10
+) -> np.ndarray:
+    """L-BFGS with step halving."""
+    x = start
+    value, gradient = evaluate(x)
+    first = np.linalg.norm(gradient)
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(max_iterations):
+        if np.linalg.norm(gradient) <= tolerance * max(first, 1e-12):
+            break
+        direction = -_inverse_hessian_times(pairs, gradient)
+        slope = gradient @ direction
+        step = 1.0 if pairs else min(1.0, 1.0 / np.linalg.norm(gradient))
+        for _ in range(40):
+            moved = x + step * direction
+            new_value, new_gradient = evaluate(moved)
+            if new_value <= value + 1e-4 * step * slope:
+                break
+            step /= 2
+        else:
+            break
+        change = (moved - x, new_gradient - gradient)
+        if change[0] @ change[1] > 1e-12:
+            pairs = [*pairs, change][-memory:]
+        x, value, gradient = moved, new_value, new_gradient
+    return x
+
+
+def _inverse_hessian_times(pairs, gradient: np.ndarray) -> np.ndarray:
+    q = gradient.copy()
+    steps = []
+    for s, y in reversed(pairs):
+        a = (s @ q) / (s @ y)
+        q -= a * y
+        steps.append(a)
+    if pairs:
+        s, y = pairs[-1]
+        q *= (s @ y) / (y @ y)
+    for (s, y), a in zip(pairs, reversed(steps)):
+        q += (a - (y @ q) / (s @ y)) * s
+    return q
+
+
+def fit_squared_hinge(
+    train: DataFrame,
+    positive: str,
+    size: int,
+    features: str = "features",
+    label: str = "label",
+    cost: float = 1.0,
+    tolerance: float = 1e-4,
+    max_iterations: int = 1000,
+) -> tuple[np.ndarray, float]:
+    """(coefficients, intercept) separating class ``positive`` from all others."""
+    raw = F.unwrap_udt(features)
+    rows = train.select(
+        F.when(F.col(label) == positive, 1.0).otherwise(-1.0).alias("target"),
+        raw["indices"].alias("positions"),
+        raw["values"].alias("weights"),
+    )
+    weights = minimise(_loss_sums(rows, size, cost), np.zeros(size + 1), tolerance, max_iterations)
+    return weights[:size], float(weights[size])
