@@ -3,13 +3,12 @@
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textlens.functions.vectors import with_dot_products
+from textlens.operators.linear_fit import fit_linear, logistic, squared_hinge
 from textlens.operators.selection import class_weight_matrix
-from textlens.operators.squared_hinge import fit_squared_hinge
 
 
 @dataclass
@@ -114,51 +113,26 @@ def fit_naive_bayes(data: TrainingData, alpha: float = 1.0) -> LinearClassifier:
 
 
 def fit_logistic_regression(data: TrainingData, cost: float = 1.0, max_iterations: int = 2000) -> LinearClassifier:
-    """L2 logistic regression with a free intercept; multinomial for three or more classes.
-
-    Summed loss with cost C equals MLlib's mean loss with regParam 1 / (C n).
-    """
-    names = F.array(*[F.lit(c) for c in data.classes])
-    rows = data.vectors.select(
-        (F.array_position(names, F.col(data.label)) - 1).cast("double").alias("target"),
-        F.col(data.features).alias("x"),
+    """L2 logistic regression with a free intercept; multinomial for three or more classes."""
+    coefficients, intercepts = fit_linear(
+        data.vectors, data.classes, len(data.terms), logistic(), data.features, data.label, cost,
+        penalise_intercept=False, max_iterations=max_iterations,
     )
-    model = LogisticRegression(
-        featuresCol="x",
-        labelCol="target",
-        maxIter=max_iterations,
-        regParam=1.0 / (cost * data.n_rows),
-        elasticNetParam=0.0,
-        standardization=False,
-    ).fit(rows)
     return LinearClassifier(
-        "logistic_regression",
-        data.classes,
-        data.terms,
-        model.coefficientMatrix.toArray(),
-        model.interceptVector.toArray(),
-        has_probability=True,
-        has_term_weights=True,
-        features=data.features,
+        "logistic_regression", data.classes, data.terms, coefficients, intercepts,
+        has_probability=True, has_term_weights=True, features=data.features,
     )
 
 
-def fit_linear_svm(data: TrainingData, cost: float = 1.0) -> LinearClassifier:
-    """Squared-hinge SVM; one against the rest for three or more classes."""
-    targets = [data.classes[1]] if len(data.classes) == 2 else data.classes
-    fits = [
-        fit_squared_hinge(data.vectors, c, len(data.terms), data.features, data.label, cost)
-        for c in targets
-    ]
+def fit_linear_svm(data: TrainingData, cost: float = 1.0, max_iterations: int = 1000) -> LinearClassifier:
+    """Squared-hinge SVM with a penalised intercept; one against the rest for three or more classes."""
+    coefficients, intercepts = fit_linear(
+        data.vectors, data.classes, len(data.terms), squared_hinge(), data.features, data.label, cost,
+        penalise_intercept=True, max_iterations=max_iterations,
+    )
     return LinearClassifier(
-        "linear_svm",
-        data.classes,
-        data.terms,
-        np.array([w for w, _ in fits]),
-        np.array([b for _, b in fits]),
-        has_probability=False,
-        has_term_weights=True,
-        features=data.features,
+        "linear_svm", data.classes, data.terms, coefficients, intercepts,
+        has_probability=False, has_term_weights=True, features=data.features,
     )
 
 

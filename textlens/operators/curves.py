@@ -62,14 +62,16 @@ class Curve:
         return origin.unionByName(points)
 
     def metrics(self) -> DataFrame:
-        """One row: average_precision, roc_auc. Every step brings its own share, so sums suffice."""
+        """One row: average_precision, roc_auc, prevalence. Every step brings its own share of each,
+        so plain sums suffice and no step needs its neighbours."""
         precision = F.col("tp") / (F.col("tp") + F.col("fp"))
         gain = F.col("hits") / F.col("positives")
-        area = (F.col("misses") / F.col("negatives")) * (2 * F.col("tp") - F.col("hits")) / (
-            2 * F.col("positives")
-        )
+        width = F.col("misses") / F.col("negatives")
+        height = (2 * F.col("tp") - F.col("hits")) / (2 * F.col("positives"))
         return self.steps.agg(
-            F.sum(gain * precision).alias("average_precision"), F.sum(area).alias("roc_auc")
+            F.sum(gain * precision).alias("average_precision"),
+            F.sum(width * height).alias("roc_auc"),
+            (F.sum("hits") / F.sum(F.col("hits") + F.col("misses"))).alias("prevalence"),
         )
 
 
@@ -148,18 +150,25 @@ def curve(scored: DataFrame, target: str = "negative", label: str = "label", sco
 
 
 def curve_metrics(scored: dict[str, DataFrame], target: str = "negative", label: str = "label") -> DataFrame:
-    """(model, average_precision, roc_auc, prevalence) per model."""
+    """(model, average_precision_<target>, roc_auc_<target>, <target>_prevalence) per model."""
     result = None
     for name, rows in scored.items():
-        steps = curve(rows, target, label).steps
-        precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-        row = steps.agg(
-            F.sum(F.col("hits") / F.col("positives") * precision).alias(f"average_precision_{target}"),
-            F.sum(
-                F.col("misses") / F.col("negatives") * (2 * F.col("tp") - F.col("hits"))
-                / (2 * F.col("positives"))
-            ).alias(f"roc_auc_{target}"),
-            (F.sum("hits") / F.sum(F.col("hits") + F.col("misses"))).alias(f"{target}_prevalence"),
-        ).select(F.lit(name).alias("model"), "*")
+        row = curve(rows, target, label).metrics().select(
+            F.lit(name).alias("model"),
+            F.col("average_precision").alias(f"average_precision_{target}"),
+            F.col("roc_auc").alias(f"roc_auc_{target}"),
+            F.col("prevalence").alias(f"{target}_prevalence"),
+        )
         result = row if result is None else result.unionByName(row)
     return result
+
+
+def curve_points(scored: dict[str, DataFrame], target: str = "negative", label: str = "label") -> DataFrame:
+    """(curve, model, point, x, y, threshold) of both curves of every model."""
+    result = None
+    for name, rows in scored.items():
+        steps = curve(rows, target, label)
+        for kind, points in (("precision_recall", steps.precision_recall()), ("roc", steps.roc())):
+            tagged = points.select(F.lit(kind).alias("curve"), F.lit(name).alias("model"), "*")
+            result = tagged if result is None else result.unionByName(tagged)
+    return result
