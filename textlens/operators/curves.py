@@ -6,6 +6,7 @@ equal size and shifted by the totals of the ranges above, so no task ever sees t
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,6 +119,8 @@ def curve(scored: DataFrame, target: str = "negative", label: str = "label", sco
     per_score = scored.groupBy(F.col(score).alias("score")).agg(
         F.count_if(is_target).alias("hits"), F.count_if(~is_target).alias("misses")
     )
+    # Read for the ranges, their totals and the running counts.
+    per_score = per_score.persist(StorageLevel.MEMORY_AND_DISK)
     sizes = per_score.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
     n_ranges = -(-sizes // SCORES_PER_RANGE)
     bounds: list[float] = []

@@ -1,14 +1,22 @@
 """Similarity search by TF-IDF cosine: one query, one document, or many queries over an index."""
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textlens.functions.rows import only_rows_of
 from textlens.functions.text import clean_text
 from textlens.functions.vectors import with_dot_products
 from textlens.operators.tfidf import TfidfModel, TfidfSettings, fit_tfidf
 
 
+# A result of up to this many rows is brought to the driver to look its texts up by id.
+FETCHED_ROWS = 1000
+# Query terms of up to this many rows are broadcast to the postings; more are left to a shuffle join.
+BROADCAST_ROWS = 1_000_000
+
+
 def _ranked(scored: DataFrame, top_k: int) -> DataFrame:
     """(rank, score, doc_id, text): a top-k of narrow rows, then the texts of the k winners."""
     best = (
@@ -19,14 +27,13 @@ def _ranked(scored: DataFrame, top_k: int) -> DataFrame:
 
 
 def _with_texts(best: DataFrame, texts: DataFrame, text: str, top_k: int) -> DataFrame:
-    # The result has top_k rows; a large top_k is left to Spark to join as it sees fit.
-    side = F.broadcast(best) if top_k <= 100_000 else best
-    return (
-        texts.select("doc_id", F.col(text).alias("text"))
-        .join(side, "doc_id")
-        .select("rank", "score", "doc_id", "text")
-        .orderBy("rank")
-    )
+    texts = texts.select("doc_id", F.col(text).alias("text"))
+    if top_k <= FETCHED_ROWS:
+        # The ids of the few winners reach the scan as a filter: their texts alone are read and cleaned.
+        rows = best.collect()
+        texts = texts.filter(F.col("doc_id").isin([r["doc_id"] for r in rows]))
+        best = F.broadcast(texts.sparkSession.createDataFrame(rows, best.schema))
+    return texts.join(best, "doc_id").select("rank", "score", "doc_id", "text").orderBy("rank")
 
 
 def _query_vector(model: TfidfModel, df: DataFrame, query: str) -> np.ndarray:
@@ -97,6 +104,9 @@ def search_many(postings: DataFrame, doc_ids: DataFrame, asked: DataFrame, queri
     A query with fewer hits than top_k is filled up with the lowest ids at score 0; the first top_k ids
     of the table are enough for that.
     """
+    asked = asked.persist(StorageLevel.MEMORY_AND_DISK)
+    if asked.count() <= BROADCAST_ROWS:
+        asked = F.broadcast(asked)
     hits = (
         postings.join(asked, "term_id")
         .groupBy("query_id", "doc_id")
@@ -123,7 +133,9 @@ def search_many(postings: DataFrame, doc_ids: DataFrame, asked: DataFrame, queri
 
 def with_document_columns(results: DataFrame, documents: DataFrame) -> DataFrame:
     """Add hotel_name, reviewer_score and text_excerpt of the found documents."""
-    return results.join(documents, "doc_id").select(
+    # top_k rows per query, read once to pick the documents and once to join them.
+    results = results.persist(StorageLevel.MEMORY_AND_DISK)
+    return results.join(only_rows_of(documents, results), "doc_id").select(
         "query_id", "query", "rank", "score", "doc_id", "hotel_name", "reviewer_score", "text_excerpt"
     )
 

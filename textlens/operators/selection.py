@@ -23,7 +23,7 @@ def class_weight_matrix(
     """The same sums as a classes-by-terms array on the driver: the size of a fitted model."""
     matrix = np.zeros((len(classes), size))
     place = {c: i for i, c in enumerate(classes)}
-    for row in class_weight_sums(vectors, label, features).toLocalIterator():
+    for row in class_weight_sums(vectors, label, features).collect():
         matrix[place[row["label"]], row["position"]] = row["weight_sum"]
     return matrix
 

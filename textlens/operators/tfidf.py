@@ -1,8 +1,8 @@
 """TF-IDF: vocabulary fit, document vectors, postings.
 
 A fit is one pass over the texts: terms are counted with map-side combine and only the chosen terms
-come to the driver (``max_features`` of them at most). Document vectors are then a narrow
-transformation. A vocabulary too large for that stays a distributed table and is joined instead.
+come to the driver (``max_features`` of them at most; they are the model). Document vectors are then a
+narrow transformation.
 """
 
 from dataclasses import dataclass, field

@@ -2,6 +2,7 @@
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ class SearchIndex:
 
     def search(self, queries: DataFrame, top_k: int = 5) -> DataFrame:
         """(query_id, query, rank, score, doc_id) for (query_id, query)."""
-        asked = query_postings(self.model, queries)
+        asked = query_postings(self.model, queries).persist(StorageLevel.MEMORY_AND_DISK)
         postings = self.postings
         ids = [r["term_id"] for r in asked.select("term_id").distinct().limit(PUSHED_TERMS + 1).collect()]
         if len(ids) <= PUSHED_TERMS:
