@@ -24,7 +24,7 @@ def texts(corpus):
 
 
 @pytest.mark.parametrize("fetched", [1000, 0])
-@pytest.mark.parametrize("query, clean", zip(QUERIES, ["dirty room noisy", *QUERIES[1:]]))
+@pytest.mark.parametrize("query, clean", list(zip(QUERIES, ["dirty room noisy", *QUERIES[1:]])))
 def test_free_text(corpus, texts, monkeypatch, query, clean, fetched):
     monkeypatch.setattr(s, "FETCHED_ROWS", fetched)
     rows = s.search_by_query(corpus, query, 6, SETTINGS).collect()
@@ -51,6 +51,11 @@ def test_many_queries(spark, corpus, texts, monkeypatch, limit):
     postings = model.postings(model.with_vectors(corpus))
     queries = queries_from_list(spark, QUERIES)
     found = s.search_many(postings, corpus, s.query_postings(model, queries), queries, 7)
+    entries = s.query_entries(model, queries)
+    monkeypatch.setattr(s, "SCORES_AT_ONCE", 8)
+    direct = s.score_documents(model.with_vectors(corpus), entries, queries, len(model.terms), 7)
+    columns = ["query_id", "query", "rank", F.round("score", 9), "doc_id"]
+    assert sorted(direct.select(*columns).collect()) == sorted(found.select(*columns).collect())
     for i, clean in enumerate(["dirty room noisy", *QUERIES[1:]], start=1):
         rows = found.filter(F.col("query_id") == i).orderBy("rank").collect()
         assert [(r["doc_id"], r["score"]) for r in rows] == ranking(texts, clean, 7)

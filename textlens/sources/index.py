@@ -7,7 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlens.functions.text import excerpt, to_number
-from textlens.operators.search import query_postings, search_many
+from textlens.operators.search import (
+    BROADCAST_ROWS,
+    QUERIES_AT_ONCE,
+    query_entries,
+    query_postings,
+    score_documents,
+    search_many,
+)
 from textlens.operators.tfidf import TfidfModel, TfidfSettings, fit_tfidf
 
 # With so few different query terms their ids go into the scan filter.
@@ -19,9 +26,19 @@ class SearchIndex:
     model: TfidfModel
     postings: DataFrame
     documents: DataFrame
+    # Document vectors; an index read from disk has its postings only.
+    vectors: DataFrame | None = None
 
     def search(self, queries: DataFrame, top_k: int = 5) -> DataFrame:
-        """(query_id, query, rank, score, doc_id) for (query_id, query)."""
+        """(query_id, query, rank, score, doc_id) for (query_id, query).
+
+        Where the documents are vectorised in the same job, they are scored on the spot. Saved postings
+        are joined by term, so that only those of the asked terms are read.
+        """
+        if self.vectors is not None:
+            entries = query_entries(self.model, queries).persist(StorageLevel.MEMORY_AND_DISK)
+            if queries.count() <= QUERIES_AT_ONCE and entries.count() <= BROADCAST_ROWS:
+                return score_documents(self.vectors, entries, queries, len(self.model.terms), top_k)
         asked = query_postings(self.model, queries).persist(StorageLevel.MEMORY_AND_DISK)
         postings = self.postings
         ids = [r["term_id"] for r in asked.select("term_id").distinct().limit(PUSHED_TERMS + 1).collect()]
@@ -57,10 +74,9 @@ def build_index(
     cleaned: DataFrame, text_column: str = "review_text", settings: TfidfSettings = TfidfSettings(min_df=3, max_features=30_000)
 ) -> SearchIndex:
     model = fit_tfidf(cleaned, settings)
-    postings = model.postings(model.with_vectors(cleaned.select("doc_id", "clean_text")))
-    return SearchIndex(
-        model, postings.select("doc_id", "term_id", "weight"), index_documents(cleaned, text_column)
-    )
+    vectors = model.with_vectors(cleaned.select("doc_id", "clean_text")).select("doc_id", "features")
+    postings = model.postings(vectors).select("doc_id", "term_id", "weight")
+    return SearchIndex(model, postings, index_documents(cleaned, text_column), vectors)
 
 
 def save_index(index: SearchIndex, path: str, mode: str = "overwrite") -> None:
