@@ -62,3 +62,13 @@ def test_many_queries(spark, corpus, texts, monkeypatch, limit):
     top = {r["query_id"]: r for r in s.query_summary(found).collect()}
     assert top[3]["top_score"] == 0.0
     assert top[2]["mean_top_k_score"] == pytest.approx(sum(r["score"] for r in found.filter("query_id = 2").collect()) / 7)
+
+
+@pytest.mark.parametrize("limit", [10_000, 1])
+def test_rows_of_found_ids(corpus, monkeypatch, limit):
+    from textlens.functions import rows
+
+    monkeypatch.setattr(rows, "FILTERED_IDS", limit)
+    wanted = corpus.filter("doc_id IN (3, 7)").select("doc_id")
+    wanted = wanted.unionByName(wanted)
+    assert sorted(r["doc_id"] for r in rows.only_rows_of(corpus, wanted).collect()) == [3, 7]
