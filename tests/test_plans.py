@@ -42,13 +42,18 @@ def test_three_classes(spark, sf_dir):
         classify(t.reviews(spark, sf_dir), ClassificationSettings(label_scheme="other"))
 
 
-def test_cluster_sweep(spark, sf_dir):
+def test_cluster_sweep(spark, sf_dir, tmp_path):
     settings = ClusteringSettings(tfidf=SMALL, restarts=2)
     table, results = cluster_sweep(t.unscored_reviews(spark, sf_dir), (3, 2), settings)
     rows = table.collect()
     assert [r["k"] for r in rows] == [2, 3] and all(-1 <= r["silhouette_score"] <= 1 for r in rows)
     assert best_k(table).head()["silhouette_score"] == max(r["silhouette_score"] for r in rows)
     assert results[3].summary().count() == 3
+    write_json(results[3].as_json_row(), str(tmp_path / "clusters"))
+    tree = json.loads(next((tmp_path / "clusters").glob("*.json")).read_text())
+    assert [c["cluster_id"] for c in tree["clusters"]] == ["cluster_0", "cluster_1", "cluster_2"]
+    assert tree["n_documents"] == sum(c["size"] for c in tree["clusters"])
+    assert all(len(c["top_terms"]) == 12 for c in tree["clusters"])
 
 
 def test_retrieval(spark, sf_dir):
@@ -56,6 +61,9 @@ def test_retrieval(spark, sf_dir):
     batch = run_queries(t.reviews(spark, sf_dir), ["then there", "nothing like it"], settings)
     assert batch.examples().count() == 6 and batch.summary().count() == 2
     assert batch.index.statistics().head()["n_documents"] <= 100
+    about = batch.metadata().head()
+    assert about["rows_loaded"] == 100 and about["rows_after_cleaning"] == about["matrix_shape"][0]
+    assert about["n_queries"] == 2
     assert find_similar(t.reviews(spark, sf_dir), query="then", settings=settings).count() == 3
     with pytest.raises(ValueError):
         find_similar(t.reviews(spark, sf_dir))

@@ -179,6 +179,8 @@ class TfidfModel:
 
 def fit_tfidf(docs: DataFrame, settings: TfidfSettings = TfidfSettings(), text: str = "clean_text") -> TfidfModel:
     """Choose the vocabulary of ``docs`` by document frequency and corpus count."""
+    if settings.max_features < 1:
+        raise ValueError("max_features has to be at least 1.")
     stats = term_statistics(docs, settings, text)
     # Rare terms are most of a vocabulary; the null row holds the number of documents.
     stats = stats.filter(F.col("term").isNull() | (F.col("df") >= settings.min_df))

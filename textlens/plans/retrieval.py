@@ -4,9 +4,10 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from textlens.functions.constants import DEFAULT_QUERIES
-from textlens.operators.preparation import cleaned_rows
+from textlens.operators.preparation import cleaned_rows, row_funnel
 from textlens.operators.sampling import exact_sample
 from textlens.operators.search import query_summary, search, with_document_columns
 from textlens.operators.tfidf import TfidfSettings
@@ -38,6 +39,9 @@ def find_similar(
 class QueryBatch:
     index: SearchIndex
     results: DataFrame
+    reviews: DataFrame
+    settings: RetrievalSettings
+    n_queries: int
 
     def examples(self) -> DataFrame:
         return with_document_columns(self.results, self.index.documents)
@@ -45,6 +49,24 @@ class QueryBatch:
     def summary(self) -> DataFrame:
         return query_summary(self.results)
 
+    def metadata(self) -> DataFrame:
+        """One row: row counts, settings and size of the index."""
+        counts = row_funnel(self.reviews, self.settings.text_column, None).select(
+            "rows_loaded", "rows_after_text_filter", "rows_after_cleaning"
+        )
+        model, tfidf = self.index.model, self.settings.tfidf
+        return counts.select(
+            "*",
+            F.lit(self.settings.text_column).alias("text_column"),
+            F.lit(self.settings.top_k).alias("top_k"),
+            F.lit(tfidf.bigrams).alias("use_bigrams"),
+            F.lit(tfidf.min_df).alias("min_df"),
+            F.lit(tfidf.max_df).alias("max_df"),
+            F.lit(tfidf.max_features).alias("max_features"),
+            F.array(F.lit(model.n_docs), F.lit(len(model.terms))).alias("matrix_shape"),
+            F.lit(self.n_queries).alias("n_queries"),
+        )
+
 
 def index_reviews(reviews: DataFrame, settings: RetrievalSettings = RetrievalSettings()) -> SearchIndex:
     sampled = exact_sample(reviews, settings.sample_size, settings.seed)
@@ -57,7 +79,9 @@ def run_queries(
     settings: RetrievalSettings = RetrievalSettings(),
 ) -> QueryBatch:
     """Many queries over one index: (query_id, query) rows or a list of texts."""
-    index = index_reviews(reviews, settings)
+    sampled = exact_sample(reviews, settings.sample_size, settings.seed)
+    index = build_index(cleaned_rows(sampled, settings.text_column), settings.text_column, settings.tfidf)
     if not isinstance(queries, DataFrame):
         queries = queries_from_list(reviews.sparkSession, queries)
-    return QueryBatch(index, index.search(queries, settings.top_k))
+    results = index.search(queries, settings.top_k)
+    return QueryBatch(index, results, sampled, settings, queries.count())
