@@ -30,6 +30,7 @@ def read_reviews_csv(
 
     Quoted fields may hold line breaks and doubled quotes. With ``multi_line`` Spark reads one file
     per task; pass False for files known to have no line breaks in fields, so that large files split.
+    Rows of few files are spread over the cluster for the steps that follow.
     ``doc_id`` is the given id column, or else a number unique per row of this read.
     """
     raw = (
@@ -41,7 +42,7 @@ def read_reviews_csv(
     )
     columns = [na_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns]
     doc_id = F.col(id_column).cast("long") if id_column else F.monotonically_increasing_id()
-    return raw.select(doc_id.alias("doc_id"), *columns)
+    return spread(raw.select(doc_id.alias("doc_id"), *columns))
 
 
 def spread(df: DataFrame, key: str = "doc_id") -> DataFrame:
