@@ -21,6 +21,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "c.n_words", "c.n_tokens")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textlens.llm.packing import pack_pieces, token_pieces
+
+    pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), most=2048)
+    return pack_pieces(pieces, capacity=2048)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textlens.llm.line_dedup import without_repeated_lines
 
@@ -42,9 +49,28 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textlens.llm.near_dedup import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textlens.llm.decontamination import contamination
+
+    docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    found = contamination(docs, items, window=13, share=0.05)
+    ids = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), ids, "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op6_sharding": op6_sharding,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_decontamination": op10_decontamination,
 }

@@ -17,5 +17,56 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
     sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM (SELECT *, key IN (SELECT key FROM common) AS dropped FROM keyed)
 GROUP BY doc_id
+""",
+    "op9_minhash_near_dedup": """
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+    FROM words, range(1, greatest(len(w) - 1, 2)) r(i) WHERE len(w) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes n ON n.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, m.n, n.n
+    HAVING 100 * count(*) >= 85 * (m.n + n.n - count(*))
+), reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION
+    SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, d.doc_id = c AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT x, min(y) AS c FROM reach GROUP BY x) ON x = d.doc_id
+""",
+    "op10_decontamination": """
+WITH dw AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents
+), iw AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM benchmark
+), iwin AS (
+    SELECT DISTINCT item_id, least(13, len(w)) AS l, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS win
+    FROM iw, range(1, len(w) - least(13, len(w)) + 2) r(i) WHERE len(w) > 0
+), dwin AS (
+    SELECT doc_id, i, l, array_to_string(w[i:i + l - 1], ' ') AS win
+    FROM dw, (SELECT DISTINCT l FROM iwin) k, range(1, len(w) - l + 2) r(i)
+), hits AS (
+    SELECT DISTINCT doc_id, i, l, item_id FROM dwin JOIN iwin USING (l, win)
+), hit_words AS (
+    SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT DISTINCT doc_id, i, l FROM hits), range(i, i + l) r(p) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n > 0 AND 20 * h.n >= len(w), false) AS contaminated
+FROM dw LEFT JOIN hit_words h USING (doc_id) LEFT JOIN items i USING (doc_id)
 """,
 }
