@@ -49,6 +49,19 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textlens.llm.pii import listed, personal_data
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", personal_data(docs, F.col("text")).alias("p"))
+
+    def number(kind: str):
+        return F.size(F.filter("p.base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    every = listed(F.concat("p.base", "p.added")).alias("spans")
+    return found.select("doc_id", *map(number, ("email", "ip", "card", "phone")), F.sha2(listed(F.col("p.base")), 256).alias("base_sha256"), every)
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textlens.llm.near_dedup import near_duplicates
 
@@ -71,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op6_sharding": op6_sharding,
+    "op7_pii": op7_pii,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_decontamination": op10_decontamination,
 }
