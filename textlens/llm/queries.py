@@ -42,6 +42,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "_quality.*")
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textlens.llm.suffix_dedup import without_earlier_substrings
+
+    found = without_earlier_substrings(table(spark, sf_dir, "documents"), size=50)
+    return found.select("doc_id", F.col("n_symbols").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textlens.llm.sharding import shard_documents
 
@@ -62,6 +69,13 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(number, ("email", "ip", "card", "phone")), F.sha2(listed(F.col("p.base")), 256).alias("base_sha256"), every)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textlens.llm.substring_dedup import without_repeated_passages
+
+    found = without_repeated_passages(table(spark, sf_dir, "documents"), size=35)
+    return found.select("doc_id", F.col("n_symbols").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textlens.llm.near_dedup import near_duplicates
 
@@ -83,8 +97,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_sharding": op6_sharding,
     "op7_pii": op7_pii,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_decontamination": op10_decontamination,
 }

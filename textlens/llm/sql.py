@@ -68,5 +68,23 @@ WITH dw AS (
 SELECT doc_id, len(w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
     sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n > 0 AND 20 * h.n >= len(w), false) AS contaminated
 FROM dw LEFT JOIN hit_words h USING (doc_id) LEFT JOIN items i USING (doc_id)
+""",
+    "op8_substring_dedup": """
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS win FROM words, range(1, len(w) - 33) r(i)
+), repeated AS (
+    SELECT doc_id, i FROM windows WHERE win IN (SELECT win FROM windows GROUP BY win HAVING count(*) > 1)
+), gone AS (
+    SELECT DISTINCT doc_id, p FROM repeated, range(i, i + 35) r(p)
+), each AS (
+    SELECT doc_id, p, w[p] AS word FROM words, range(1, len(w) + 1) r(p)
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+    FROM each LEFT JOIN (SELECT doc_id, p, true AS lost FROM gone) USING (doc_id, p) WHERE lost IS NULL GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
 """,
 }
