@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -20,32 +22,99 @@ BATCH_BYTES, GROUP_PIECES = 4 << 20, 4096
 FULL_ENOUGH = 0.98
 
 
+class PartEncoder:
+    """Token ids of strings without white space, each encoded once as long as it is remembered.
+
+    Parts of plain Latin letters, digits and signs are cut into the tokenizer's own words here, and only new words go
+    to the library, without its normaliser and splitter, which would leave them as they are. All other parts, and those
+    that may hold a special token, go through the whole tokenizer. A tokenizer with other rules always does all.
+    """
+
+    #: The rules for which the short way is the same (fixed values of the file format).
+    LOWER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+    WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+    #: Signs, digits and letters of which the library's rules change nothing but the case.
+    plain = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+    word = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9]+")
+
+    def __init__(self, model: str, remembered: int = 500_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.whole = Tokenizer.from_str(model)
+        rules = json.loads(model)
+        split = [x.get("pattern", {}).get("Regex") for x in (rules.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+        self.short = (rules.get("normalizer") or {}).get("normalizers") == self.LOWER and split == [self.WORDS, None]
+        rules["normalizer"], rules["pre_tokenizer"] = None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": False, "use_regex": False}
+        self.words = Tokenizer.from_str(json.dumps(rules)) if self.short else self.whole
+        self.remembered = remembered
+        self.known: dict[str, list[int]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.ids, self.sizes = [], []
+
+    def _is_plain(self, x: str) -> bool:
+        return (x.isascii() and x.isprintable() or self.plain.fullmatch(x) is not None) and "<|" not in x
+
+    def _words_of(self, x: str) -> list[str]:
+        """Words of a plain part in lower case."""
+        low = x.lower()
+        if low.isalpha():
+            return [low]
+        if low[:-1].isalpha() and not low[-1].isalnum():
+            return [low[:-1], low[-1]]
+        return self.word.findall(low)
+
+    def _encode(self, parts: list[str]) -> list[list[int]]:
+        cut = [self._words_of(x) if self.short and self._is_plain(x) else None for x in parts]
+        rest = iter(self.whole.encode_batch_fast([x for x, ws in zip(parts, cut, strict=True) if ws is None], add_special_tokens=False))
+        if len(self.known) > self.remembered:
+            self.known = {}
+        ids = self.known
+        words = list({w for ws in cut if ws is not None for w in ws if w not in ids})
+        ids.update((w, x.ids) for w, x in zip(words, self.words.encode_batch_fast(words, add_special_tokens=False), strict=True))
+        return [next(rest).ids if ws is None else ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in ids[w]] for ws in cut]
+
+    def encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts, one after the other, and their numbers."""
+        if len(self.slot) > self.remembered:
+            self.forget()
+        new = [x for x in parts if x not in self.slot]
+        if new:
+            found = self._encode(new)
+            self.slot.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new)), strict=True))
+            self.sizes.extend(map(len, found))
+            self.ids.append(np.fromiter((i for x in found for i in x), np.uint32))
+        self.ids = [np.concatenate(self.ids)] if self.ids else [np.zeros(0, np.uint32)]
+        sizes = np.array(self.sizes, np.int64)
+        at = np.fromiter((self.slot[x] for x in parts), np.int64, len(parts))
+        return self.ids[0][ranges((np.cumsum(sizes) - sizes)[at], sizes[at])], sizes[at]
+
+
 def token_pieces(docs: DataFrame, tokenizer_file: str, most: int = 2048, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """Tokens of each document plus an end token, in pieces of at most `most`: doc_id, piece, start, length, ids_crc32.
 
     Only longer documents are cut. The tokenizer must drop white space, as word-level BPE does: the ids of a text are
-    then those of its parts between white space, so a task encodes each distinct part of a few MB of text once. The
-    file's content, a fixed model, is a broadcast. A null text is an empty one: a single end token. `with_ids` adds the
-    ids themselves.
+    then those of its parts between white space, so a task encodes each distinct part once. The file's content, a fixed
+    model, is a broadcast. A null text is an empty one: a single end token. `with_ids` adds the ids themselves.
     """
     with open(tokenizer_file, encoding="utf-8") as file:
         model = docs.sparkSession.sparkContext.broadcast(file.read())
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(model.value)
+        encoder = PartEncoder(model.value)
         for batch in batches:
             for part in slices(batch, "text", BATCH_BYTES):
                 flat, counts = flat_words(part.column("text"))
                 codes, distinct = word_codes(flat)
-                found = [x.ids for x in tokenizer.encode_batch(distinct.to_pylist(), add_special_tokens=False)]
-                sizes = np.fromiter((*map(len, found), 1), np.int64, len(found) + 1)
-                ids = np.fromiter((i for x in (*found, [end_id]) for i in x), np.uint32, int(sizes.sum()))
+                ids, sizes = encoder.encode(distinct.to_pylist())
+                ids, sizes = np.append(ids, np.uint32(end_id)), np.append(sizes, 1)
                 ends = np.cumsum(counts)
-                codes = np.insert(codes, ends, len(found))  # the end token after each document's last part
+                codes = np.insert(codes, ends, len(sizes) - 1)  # the end token after each document's last part
                 lengths = sizes[codes]
                 tokens = ids[ranges((np.cumsum(sizes) - sizes)[codes], lengths)]
                 bounds = starts_of(lengths)[np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])]

@@ -86,5 +86,28 @@ WITH words AS (
 )
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM words LEFT JOIN kept USING (doc_id)
+""",
+    "op5_suffix_array_dedup": """
+WITH bytes AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), strings AS (
+    SELECT doc_id, i, substr(x, 2 * i - 1, 100) AS s FROM bytes, range(1, len(x) // 2 - 48) r(i)
+), firsts AS (
+    SELECT s, min(doc_id) AS m FROM strings GROUP BY s
+), gone AS (
+    SELECT DISTINCT doc_id, p
+    FROM (SELECT doc_id, i FROM strings JOIN firsts USING (s) WHERE m < doc_id), range(i, i + 50) r(p)
+), spans AS (
+    SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE p - 1 <> coalesce(before, -1)) AS spans
+    FROM (SELECT *, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM gone) GROUP BY doc_id
+), each AS (
+    SELECT doc_id, p, substr(x, 2 * p - 1, 2) AS b FROM bytes, range(1, len(x) // 2 + 1) r(p)
+), kept AS (
+    SELECT doc_id, string_agg(b, '' ORDER BY p) AS x
+    FROM each LEFT JOIN (SELECT doc_id, p, true AS lost FROM gone) USING (doc_id, p) WHERE lost IS NULL GROUP BY doc_id
+)
+SELECT doc_id, len(b.x) // 2 AS n_bytes, coalesce(n, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
+    sha256(unhex(coalesce(k.x, ''))) AS kept_sha256
+FROM bytes b LEFT JOIN spans USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """,
 }
