@@ -187,6 +187,8 @@ def _anchor_rows(scheme: Windows, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, block in _blocks(batches, scheme):
             anchors = Anchors.of_segments(segments_of(block, scheme), shards, scheme.across)
+            if not len(anchors.hashes):
+                continue
             cut = np.flatnonzero(np.diff(anchors.shards, prepend=-1))
             ends = np.append(cut[1:], len(anchors.shards))
             low = (anchors.hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
