@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +49,7 @@ from textlens.operators.search import query_summary, search_by_query, search_by_
 from textlens.operators.selection import chi2_scores, class_weight_sums, select_k_best
 from textlens.operators.silhouette import mean_silhouette, silhouette_values
 from textlens.operators.tfidf import fit_tfidf, term_frequencies, term_statistics, with_terms
-from textlens.plans.classification import ClassificationSettings, classify, fit_models, split_and_vectorise
+from textlens.plans.classification import ClassificationSettings, classify, fit_models, selection_sweep, split_and_vectorise
 from textlens.plans.clustering import ClusteringSettings, best_k, cluster_complaints, cluster_sweep
 from textlens.sources.index import build_index, index_documents
 from textlens.sources.reviews import queries_from_list
@@ -289,7 +289,7 @@ def chi2_statistics(spark, sf_dir):
 
 @query
 def chi2_best_terms(spark, sf_dir):
-    return select_k_best(term_chi2(spark, sf_dir), t.SELECTED).select("term", r6("chi2"))
+    return select_k_best(term_chi2(spark, sf_dir), t.FEW).select("term", r6("chi2"))
 
 
 def bayes(spark, sf_dir, settings: ClassificationSettings = t.CLASSIFY, k: int = 0):
@@ -317,7 +317,7 @@ def naive_bayes_predictions(spark, sf_dir):
 
 @query
 def naive_bayes_on_selected_terms(spark, sf_dir):
-    predictions = bayes(spark, sf_dir, k=t.SELECTED)[1].predictions
+    predictions = bayes(spark, sf_dir, k=t.FEW)[1].predictions
     return predictions.select("doc_id", "label", "prediction", r6("target_score"))
 
 
@@ -327,14 +327,18 @@ def naive_bayes_three_class(spark, sf_dir):
     return predictions.select("doc_id", "label", "prediction", r6("target_score"))
 
 
+def ratio_weights(spark, model) -> DataFrame:
+    """(class_label, term, weight): the log-likelihood ratio of both classes, a table as large as the vocabulary."""
+    ratio = pd.DataFrame({"term": model.terms, "weight": model.coefficients[1] - model.coefficients[0]})
+    weights = spark.createDataFrame(ratio, "term string, weight double")
+    return weights.select(F.lit("positive").alias("class_label"), "term", "weight")
+
+
 @query
 def strongest_terms(spark, sf_dir):
     """Top terms on given weights: the log-likelihood ratio of the two classes."""
     model = bayes(spark, sf_dir)[1].classifier
-    ratio = model.coefficients[1] - model.coefficients[0]
-    rows = [("positive", term, float(w)) for term, w in zip(model.terms, ratio)]
-    weights = spark.createDataFrame(rows, "class_label string, term string, weight double")
-    return top_terms(weights, 2).select("class_label", "rank", "term", r6("weight"))
+    return top_terms(ratio_weights(spark, model), 2).select("class_label", "rank", "term", r6("weight"))
 
 
 def fitted(spark, sf_dir, name: str, settings: ClassificationSettings = t.CLASSIFY):
@@ -407,7 +411,7 @@ def bayes_variants(spark, sf_dir) -> dict[str, DataFrame]:
     data = split_and_vectorise(t.reviews(spark, sf_dir), t.CLASSIFY)
     return {
         name: fit_models(data, k, ("naive_bayes",))["naive_bayes"].predictions
-        for name, k in (("all_terms", 0), ("selected_terms", t.SELECTED))
+        for name, k in (("all_terms", 0), ("selected_terms", t.FEW))
     }
 
 
@@ -450,7 +454,7 @@ def complaints(spark, sf_dir):
     rows = cleaned_rows(t.unscored_reviews(spark, sf_dir), "negative_text").select(
         "doc_id", "negative_text", "clean_text"
     )
-    model = fit_tfidf(rows, t.LEARN)
+    model = fit_tfidf(rows, t.COMPLAINTS)
     vectors = model.with_vectors(rows.select("doc_id", "clean_text")).select("doc_id", "features").persist()
     return rows, model, vectors
 
@@ -459,7 +463,7 @@ def language_clusters(spark, sf_dir):
     rows, model, vectors = complaints(spark, sf_dir)
     languages = t.table(spark, sf_dir, "documents").select("doc_id", "lang")
     centers = mean_centers(
-        vectors.join(languages, "doc_id"), "lang", list(t.LANGUAGES), len(model.terms)
+        vectors.join(languages, "doc_id"), "lang", t.languages(spark, sf_dir), len(model.terms)
     )
     return rows, model, vectors, centers
 
@@ -482,7 +486,7 @@ def nearest_centers(spark, sf_dir):
 @query
 def sizes_of_clusters(spark, sf_dir):
     _, _, vectors, centers = language_clusters(spark, sf_dir)
-    return cluster_sizes(assign(vectors, centers), t.CLUSTERS)
+    return cluster_sizes(assign(vectors, centers), len(centers) + 1)
 
 
 @query
@@ -504,7 +508,7 @@ def language_cluster_summary(spark, sf_dir) -> DataFrame:
     rows, model, vectors, centers = language_clusters(spark, sf_dir)
     assigned = assign(vectors, centers)
     return cluster_summary(
-        cluster_sizes(assigned, t.CLUSTERS),
+        cluster_sizes(assigned, len(centers) + 1),
         top_cluster_terms(mean_weights(assigned, model.positions(spark))),
         representatives(assigned),
         rows,
@@ -520,25 +524,25 @@ def summary_of_clusters(spark, sf_dir):
 def silhouette_of_rows(spark, sf_dir):
     _, _, vectors, centers = language_clusters(spark, sf_dir)
     sample = exact_sample(assign(vectors, centers), 5000)
-    return silhouette_values(sample, t.CLUSTERS).select("doc_id", "cluster", r6("silhouette"))
+    return silhouette_values(sample, len(centers) + 1).select("doc_id", "cluster", r6("silhouette"))
 
 
 @query
 def silhouette_mean(spark, sf_dir):
     _, _, vectors, centers = language_clusters(spark, sf_dir)
-    return mean_silhouette(assign(vectors, centers), t.CLUSTERS).select(r6("silhouette_score"))
+    return mean_silhouette(assign(vectors, centers), len(centers) + 1).select(r6("silhouette_score"))
 
 
 @query
 def kmeans_summary(spark, sf_dir):
-    settings = ClusteringSettings(sample_size=None, k=7, tfidf=t.LEARN)
+    settings = ClusteringSettings(sample_size=None, k=7, tfidf=t.COMPLAINTS)
     return cluster_complaints(t.unscored_reviews(spark, sf_dir), settings).summary()
 
 
 @query
 def kmeans_best_k(spark, sf_dir):
-    settings = ClusteringSettings(sample_size=None, tfidf=t.LEARN, restarts=2)
-    return best_k(cluster_sweep(t.unscored_reviews(spark, sf_dir), (3, 4, 5), settings)[0])
+    settings = ClusteringSettings(sample_size=None, tfidf=t.COMPLAINTS)
+    return best_k(cluster_sweep(t.unscored_reviews(spark, sf_dir), t.CLUSTER_COUNTS, settings)[0])
 
 
 # Search
@@ -597,7 +601,7 @@ def labelled_clusters(spark, sf_dir):
     main = counts.groupBy("lang").agg(
         F.min_by("source", F.struct(-F.col("count"), "source")).alias("rationale")
     )
-    place = F.array_position(F.array(*map(F.lit, t.LANGUAGES)), F.col("lang")).cast("int") - 1
+    place = F.array_position(F.array(*map(F.lit, t.languages(spark, sf_dir))), F.col("lang")).cast("int") - 1
     labels = main.select(
         F.concat(F.lit("cluster_"), place.cast("string")).alias("cluster_id"),
         F.col("lang").alias("manual_label"),
@@ -611,16 +615,8 @@ def labelled_clusters(spark, sf_dir):
 def sentiment_terms(spark, sf_dir) -> DataFrame:
     """Top terms with sentiment, rank and term; the negative list is shorter."""
     model = bayes(spark, sf_dir)[1].classifier
-    ratio = np.round(model.coefficients[1] - model.coefficients[0], 6)
-    best = sorted(range(len(ratio)), key=lambda i: (-ratio[i], model.terms[i]))[:20]
-    worst = sorted(range(len(ratio)), key=lambda i: (ratio[i], model.terms[i]))[:15]
-    lists = [
-        ("positive", [model.terms[i] for i in best]),
-        ("negative", [model.terms[i] for i in worst]),
-    ]
-    return report.ranked_term_rows(
-        spark.createDataFrame(lists, "sentiment string, terms array<string>")
-    )
+    best = top_terms(ratio_weights(spark, model), 2).filter("class_label = 'positive' OR rank <= 15")
+    return best.select(F.col("class_label").alias("sentiment"), "rank", "term")
 
 
 @query
@@ -645,12 +641,19 @@ def assessed_search_results(spark, sf_dir):
 
 
 def bayes_sweep(spark, sf_dir) -> DataFrame:
-    data = split_and_vectorise(t.reviews(spark, sf_dir), t.CLASSIFY)
-    runs = {}
-    for k in t.SWEEP:
-        predictions = fit_models(data, k, ("naive_bayes",))["naive_bayes"].predictions
-        runs[k] = model_summary({"naive_bayes": overall_report(confusion_matrix(predictions))})
-    return report.sweep_summary(runs)
+    return selection_sweep(t.reviews(spark, sf_dir), t.SWEEP, t.SWEPT).summary()
+
+
+@query
+def selection_grid(spark, sf_dir):
+    """All models and all numbers of terms."""
+    return selection_sweep(t.reviews(spark, sf_dir), t.SWEEP, t.GRID).summary()
+
+
+@query
+def selection_grid_best_terms(spark, sf_dir):
+    """Ranked terms of the grid's best run."""
+    return selection_sweep(t.reviews(spark, sf_dir), t.SWEEP, t.GRID).best_top_features()
 
 
 @query
@@ -676,16 +679,8 @@ def selection_sweep_gain(spark, sf_dir):
 @query
 def model_results(spark, sf_dir):
     """The run without selection above the best run of the sweep."""
-    data = split_and_vectorise(t.reviews(spark, sf_dir), t.CLASSIFY)
-    runs = {
-        k: model_summary(
-            {
-                "naive_bayes": overall_report(
-                    confusion_matrix(fit_models(data, k, ("naive_bayes",))["naive_bayes"].predictions)
-                )
-            }
-        )
-        for k in (0, t.SELECTED)
-    }
-    table = report.model_results_table(runs[0], runs[t.SELECTED], t.SELECTED)
+    sweep = selection_sweep(t.reviews(spark, sf_dir), t.SWEEP, t.SWEPT)
+    best = report.best_run(sweep.summary()).head()["feature_selection_k"]
+    runs = [sweep.results[k].summary() for k in (0, best)]
+    table = report.model_results_table(*runs, best, report.BASELINE)
     return table.select("scenario", "model", *[r6(c) for c in report.METRICS])

@@ -9,6 +9,7 @@ from textlens.functions.constants import (
     POSITIVE_PLACEHOLDERS,
 )
 from textlens.functions.text import WHITESPACE
+from textlens.operators.tfidf import TfidfSettings
 
 SEED = 42
 
@@ -153,15 +154,15 @@ LABEL = {"binary": "binary_label", "three_class": "coalesce(binary_label, 'neutr
 # Classification
 
 
-def train_ctes(scheme: str = "binary") -> list[str]:
+def train_ctes(scheme: str = "binary", settings: TfidfSettings = t.LEARN) -> list[str]:
     """weights (train) and test_weights (test) with the vocabulary of the training part"""
     return [
         *DOCS,
         *split_ctes("docs", LABEL[scheme]),
         "train AS (SELECT * FROM parts WHERE NOT is_test)",
         "test AS (SELECT * FROM parts WHERE is_test)",
-        *tfidf_ctes("train", t.LEARN),
-        counts_cte("test_counts", "test", t.LEARN),
+        *tfidf_ctes("train", settings),
+        counts_cte("test_counts", "test", settings),
         weights_cte("test_weights", "test_counts"),
         "train_n AS (SELECT label, count(*) AS c FROM train GROUP BY label)",
         """cells AS (
@@ -270,9 +271,9 @@ def curve_row(model: str, tag: str) -> str:
 
 
 BOTH = [
-    *train_ctes(), *chi2_ctes(), *bayes_ctes(0, "_all"), *bayes_ctes(t.SELECTED, "_sel"),
+    *train_ctes(), *chi2_ctes(), *bayes_ctes(0, "_all"), *bayes_ctes(t.FEW, "_sel"),
 ]
-SWEEP = [*train_ctes(), *chi2_ctes()] + [
+SWEEP = [*train_ctes(settings=t.PAIRS), *chi2_ctes()] + [
     c for k in t.SWEEP for c in (*bayes_ctes(k, f"_{k}"), *report_ctes(f"_{k}"))
 ]
 SWEEP_ROWS = " UNION ALL ".join(
@@ -291,12 +292,15 @@ SENTIMENT_TERMS = f"""sentiment_terms AS (
 
 # Clusters
 
+# One more cluster than there are languages, so that an empty one shows.
+LANGUAGES = """languages AS (
+  SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS cluster FROM documents WHERE lang IS NOT NULL GROUP BY lang)"""
 CLUSTER = [
     *COMPLAINTS,
-    *tfidf_ctes("docs", t.LEARN),
-    f"""lang_n AS (
-  SELECT lang, list_position([{literals(t.LANGUAGES)}], lang) - 1 AS cluster, count(*) AS c
-  FROM docs GROUP BY lang)""",
+    *tfidf_ctes("docs", t.COMPLAINTS),
+    LANGUAGES,
+    """lang_n AS (
+  SELECT lang, cluster, count(*) AS c FROM docs JOIN languages USING (lang) GROUP BY lang, cluster)""",
     """centers AS (
   SELECT n.cluster, w.term, sum(w.weight) / any_value(n.c) AS value
   FROM weights w JOIN docs d USING (doc_id) JOIN lang_n n USING (lang) GROUP BY n.cluster, w.term)""",
@@ -314,7 +318,7 @@ CLUSTER = [
   SELECT doc_id, cluster, distance FROM distances
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY distance, cluster) = 1)""",
     f"""sizes AS (
-  SELECT i.cluster, count(a.doc_id) AS size FROM (SELECT unnest(range({t.CLUSTERS})) AS cluster) i
+  SELECT i.cluster, count(a.doc_id) AS size FROM (SELECT cluster FROM languages UNION ALL SELECT count(*) FROM languages) i
   LEFT JOIN assigned a USING (cluster) GROUP BY i.cluster)""",
     """cluster_terms AS (
   SELECT cluster, term, sum(weight) / any_value(size) AS weight,
@@ -502,14 +506,14 @@ FROM docs d LEFT JOIN weights w ON w.doc_id = d.doc_id GROUP BY d.doc_id""",
     ),
     "chi2_best_terms": with_ctes(
         [*train_ctes(), *chi2_ctes()],
-        f"SELECT term, round(chi2, 6) AS chi2 FROM chi2s ORDER BY 2 DESC, term DESC LIMIT {t.SELECTED}",
+        f"SELECT term, round(chi2, 6) AS chi2 FROM chi2s ORDER BY 2 DESC, term DESC LIMIT {t.FEW}",
     ),
     "naive_bayes_weights": with_ctes(
         learned(), "SELECT label, term, round(ll, 6) AS log_likelihood FROM likelihood"
     ),
     "naive_bayes_predictions": with_ctes(learned(), f"SELECT {PREDICTION_COLUMNS} FROM predictions"),
     "naive_bayes_on_selected_terms": with_ctes(
-        learned(t.SELECTED), f"SELECT {PREDICTION_COLUMNS} FROM predictions"
+        learned(t.FEW), f"SELECT {PREDICTION_COLUMNS} FROM predictions"
     ),
     "naive_bayes_three_class": with_ctes(
         learned(scheme="three_class"), f"SELECT {PREDICTION_COLUMNS} FROM predictions"
@@ -633,9 +637,9 @@ QUALIFY rank <= 10""",
         [
             *CLUSTER,
             "source_n AS (SELECT lang, source, count(*) AS c FROM documents GROUP BY lang, source)",
-            f"""notes AS (
-  SELECT 'cluster_' || (list_position([{literals(t.LANGUAGES)}], lang) - 1) AS cluster_id,
-    lang AS manual_label, source AS rationale FROM source_n
+            """notes AS (
+  SELECT 'cluster_' || cluster AS cluster_id,
+    lang AS manual_label, source AS rationale FROM source_n JOIN languages USING (lang)
   QUALIFY row_number() OVER (PARTITION BY lang ORDER BY c DESC, source) = 1)""",
         ],
         f"""SELECT cluster_id, size, top_terms, manual_label, rationale
@@ -663,20 +667,20 @@ WHERE rank <= 3""",
     "selection_sweep_best": with_ctes(
         SWEEP,
         f"""SELECT feature_selection_k, model, {rounded(('macro_f1', 'accuracy'))} FROM ({SWEEP_ROWS}) r
-ORDER BY r.macro_f1 DESC, model, feature_selection_k LIMIT 1""",
+ORDER BY round(r.macro_f1, 6) DESC, model, feature_selection_k LIMIT 1""",
     ),
     "selection_sweep_gain": with_ctes(
         [*SWEEP, f"runs AS ({SWEEP_ROWS})"],
         """SELECT b.model, b.feature_selection_k AS best_k, round(z.macro_f1, 6) AS baseline_macro_f1,
   round(b.macro_f1, 6) AS best_macro_f1, round(b.macro_f1 - z.macro_f1, 6) AS delta_macro_f1,
   round(b.accuracy - z.accuracy, 6) AS delta_accuracy
-FROM (SELECT * FROM runs ORDER BY macro_f1 DESC, feature_selection_k LIMIT 1) b,
+FROM (SELECT * FROM runs ORDER BY round(macro_f1, 6) DESC, feature_selection_k LIMIT 1) b,
   (SELECT * FROM runs WHERE feature_selection_k = 0) z""",
     ),
     "model_results": with_ctes(
-        SWEEP,
-        f"""SELECT 'baseline_bigram' AS scenario, 'naive_bayes' AS model, {rounded(METRICS)} FROM overall_0
-UNION ALL SELECT 'feature_selection_k_{t.SELECTED}' AS scenario, 'naive_bayes' AS model, {rounded(METRICS)}
-FROM overall_{t.SELECTED}""",
+        [*SWEEP, f"runs AS ({SWEEP_ROWS})"],
+        f"""SELECT 'baseline_bigram' AS scenario, model, {rounded(METRICS)} FROM runs WHERE feature_selection_k = 0
+UNION ALL (SELECT 'feature_selection_k_' || feature_selection_k AS scenario, model, {rounded(METRICS)}
+FROM runs r ORDER BY round(r.macro_f1, 6) DESC, feature_selection_k LIMIT 1)""",
     ),
 }

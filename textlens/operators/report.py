@@ -44,10 +44,14 @@ def assessed_examples(examples: DataFrame, assessments: DataFrame, top: int = 3)
     )
 
 
-def model_results_table(baseline: DataFrame, best: DataFrame, best_k: int) -> DataFrame:
+# Fixed value: the tag of the run with bigrams and without selection.
+BASELINE = "baseline_bigram"
+
+
+def model_results_table(baseline: DataFrame, best: DataFrame, best_k: int, baseline_scenario: str) -> DataFrame:
     """Both model summaries under each other, tagged with their scenario."""
     return (
-        baseline.select(F.lit("baseline_bigram").alias("scenario"), "*")
+        baseline.select(F.lit(baseline_scenario).alias("scenario"), "*")
         .unionByName(best.select(F.lit(f"feature_selection_k_{best_k}").alias("scenario"), "*"))
     )
 
@@ -60,7 +64,7 @@ def sweep_summary(runs: dict[int, DataFrame]) -> DataFrame:
         result = tagged if result is None else result.unionByName(tagged)
     if result is None:
         raise ValueError("Give at least one k value.")
-    return result.orderBy("model", F.desc("macro_f1"), "feature_selection_k")
+    return result.orderBy("model", F.round("macro_f1", 6).desc(), "feature_selection_k")
 
 
 def model_runs(sweep: DataFrame, model: str = "linear_svm") -> DataFrame:
@@ -69,7 +73,7 @@ def model_runs(sweep: DataFrame, model: str = "linear_svm") -> DataFrame:
 
 def best_run(sweep: DataFrame) -> DataFrame:
     """The row with the best macro F1 (ties: model, then the smaller k)."""
-    return sweep.orderBy(F.desc("macro_f1"), "model", "feature_selection_k").limit(1)
+    return sweep.orderBy(F.round("macro_f1", 6).desc(), "model", "feature_selection_k").limit(1)
 
 
 def delta_to_baseline(sweep: DataFrame, model: str = "linear_svm") -> DataFrame:
@@ -80,7 +84,7 @@ def delta_to_baseline(sweep: DataFrame, model: str = "linear_svm") -> DataFrame:
     return (
         runs.groupBy("model")
         .agg(
-            F.max_by(F.struct("feature_selection_k", *METRICS), F.struct("macro_f1", -F.col("feature_selection_k"))).alias("best"),
+            F.max_by(F.struct("feature_selection_k", *METRICS), F.struct(F.round("macro_f1", 6), -F.col("feature_selection_k"))).alias("best"),
             F.max(F.when(F.col("feature_selection_k") == 0, F.col("macro_f1"))).alias("base_f1"),
             F.max(F.when(F.col("feature_selection_k") == 0, F.col("accuracy"))).alias("base_accuracy"),
         )

@@ -140,11 +140,14 @@ class ClassificationResult:
     def top_features(self, top_n: int = 20) -> DataFrame:
         """(model, sentiment, rank, term) of the models with term weights."""
         spark = self.data.vectors.sparkSession
+        empty = spark.createDataFrame([], "model string, sentiment string, rank int, term string")
         tables = {
             n: top_terms(r.classifier.term_weights(spark), len(r.classifier.classes), top_n)
             for n, r in self.runs.items()
             if r.classifier.has_term_weights
         }
+        if not tables:
+            return empty
         return _union(tables, "model").withColumnRenamed("class_label", "sentiment").drop("weight")
 
     def class_distribution(self) -> DataFrame:
@@ -229,7 +232,8 @@ def selection_sweep(
     if not ks:
         raise ValueError("Give at least one k value.")
     data = split_and_vectorise(reviews, settings)
-    results = {
-        k: ClassificationResult(settings, data, fit_models(data, k, settings.models)) for k in ks
-    }
+    # Every k that keeps all terms is the same run.
+    terms = len(data.model.terms)
+    runs = {k: fit_models(data, k, settings.models) for k in dict.fromkeys(k if 0 < k < terms else 0 for k in ks)}
+    results = {k: ClassificationResult(settings, data, runs[k if 0 < k < terms else 0]) for k in ks}
     return SelectionSweep(data, results)
