@@ -178,12 +178,39 @@ def test_large_group_of_near_copies(spark, monkeypatch):
             words[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
         rows.append((i, " ".join(words)))
     rows += [(500 + i, " ".join(f"y{i}z{j}" for j in range(50))) for i in range(20)]
-    for rounds in (1, 3):
-        monkeypatch.setattr(near_dedup, "PIVOT_ROUNDS", rounds)
+    for levels in (1, 3):
+        monkeypatch.setattr(near_dedup, "LEVELS", levels)
         got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)
         assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == sorted(brute.near_duplicates(rows))
 
 
+def test_first_elements_of_differences():
+    """Any two linked sets of which one is not linked with the pivot share one of them."""
+    rng = random.Random(11)
+    for percent in (80, 85):
+        seen = 0
+        for _ in range(4000):
+            p = {rng.randrange(60) for _ in range(40)}
+
+            def near(s):
+                out = set(s)
+                for _ in range(rng.randint(0, 7)):
+                    out.discard(rng.choice(sorted(out)))
+                    if rng.random() < 0.6:
+                        out.add(rng.randrange(60, 90))
+                return out
+
+            x = near(p)
+            y = near(x)
+            arrays = [np.array(sorted(s), np.uint64) for s in (p, x, y)]
+            (lx, fx), (ly, fy) = (near_dedup.compared(arrays[0], a, percent) for a in arrays[1:])
+            linked = 100 * len(x & y) >= percent * len(x | y)
+            if linked and x != y and not (lx and ly) and x != p and y != p:
+                seen += 1
+                assert set(fx.tolist()) & set(fy.tolist())
+        assert seen > 100
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     got = dict(map(tuple, near_dedup.components(links).select("node", "label").collect()))

@@ -17,8 +17,8 @@ from textlens.llm.shared import KEY, flat_words, mix, ranges, slices, starts_of,
 BATCH_BYTES = 4 << 20
 #: Coordinates of a band and bands. Sets of similarity 0.85 miss all bands with probability 1e-6, of 0.8 with 2e-4.
 ROWS, BANDS = 7, 36
-#: Rounds that compare a band's sets with one of them, before all pairs that are left are compared.
-PIVOT_ROUNDS = 3
+#: Levels of bands whose sets are compared with a pivot, before all pairs that are left are compared.
+LEVELS = 3
 #: Keys of sets to be verified are a broadcast up to this number (16 bytes each), a shuffle join beyond.
 BROADCAST_KEYS = 1_000_000
 
@@ -138,20 +138,31 @@ def _packed_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "node long, shingles binary")
 
 
-def _linked(percent: int):
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        def one(x: bytes, y: bytes) -> bool:
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                return False
-            both = np.concatenate([x, y])
-            both.sort()
-            common = int(np.count_nonzero(both[1:] == both[:-1]))
-            return 100 * common >= percent * (len(x) + len(y) - common)
+def compared(p: np.ndarray, x: np.ndarray, percent: int) -> tuple[bool, np.ndarray]:
+    """Whether sets p and x are linked, and the first elements of their difference.
+
+    Let D(x) be the difference of x and p. Two sets x and y differ in D(x) ^ D(y); if they are linked, that has at most
+    (100 - percent) / (100 + percent) of |x| + |y| elements, so D(x) and D(y) must share some if one of the two is not
+    linked with p. In any fixed order, they then share one of the first |D| - o + 1 elements, where o is a lower bound
+    of how many they share. The order is: elements outside p by hash, then those of p. What is peculiar to a copy comes
+    first, so copies of p that have nothing else in common share no such element.
+    """
+    new, lost = np.setdiff1d(x, p, assume_unique=True), np.setdiff1d(p, x, assume_unique=True)
+    common, size = len(x) - len(new), len(new) + len(lost)
+    linked = 100 * common >= percent * (len(x) + len(p) - common)
+    if linked:  # the other one is not: it differs from p by more than (100 - percent) / (100 + percent) of both sizes
+        shared = (size * (100 + percent) + (100 - percent) * (len(p) - len(x))) // (2 * (100 + percent)) + 1
+    else:  # the other one's size is at most 100 / percent of this one's
+        shared = size - len(x) * (100 - percent) // percent
+    return linked, np.concatenate([new, lost])[: size - max(1, shared) + 1]
 
-        return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype=bool)
 
-    return F.pandas_udf(run, "boolean")
+def _comparison(percent: int):
+    def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        found = [compared(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(a, b, strict=True)]
+        return pd.DataFrame({"linked": [x for x, _ in found], "first": [x.view(np.int64) for _, x in found]}, columns=["linked", "first"])
+
+    return F.pandas_udf(run, "linked boolean, first array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -182,10 +193,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     linked with nothing; null ids come last; rows with equal doc_id and text are the same document. An empty table
     gives an empty result.
 
-    Equal sets become one node. Nodes that share a band are candidates. Each band's nodes are compared with one of
-    them, links join components, and only nodes of different components are looked at again, with the next node of
-    the band; after some rounds, all pairs left in a band are compared. So a large group costs a comparison for each
-    of its members, and no pair that shares a band is left out. Every link is confirmed on the full sets.
+    Equal sets become one node, and nodes that share a band are candidates. Each band's nodes are compared with its
+    pivot, the node that shares bands with most others. Links join components. Nodes of a band that are left in different
+    components make new bands: each differs from the pivot, and two of them can only be linked if they share one of the
+    first elements of that difference (see `compared`). So a large group costs a comparison for each of its members, and
+    no pair that shares a band is left out: after some levels, all pairs left in a band are compared. Every link is
+    confirmed on the full sets.
     """
     keyed = with_key(docs.select("doc_id", "text"))
     sketched = stored(_sketched(keyed, size))
@@ -195,21 +208,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     nodes = sketched.filter("set IS NOT NULL").groupBy("set").agg(least, F.first("bands").alias("bands"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()))
     rows = nodes.select("node", F.explode("bands").alias("band"))
-    shared = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+    shared = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     members = stored(rows.join(shared, "band"))
-    links, labels, left = None, None, members
-    for _ in range(PIVOT_ROUNDS):
-        pivots = left.groupBy("band").agg(F.min("node").alias("pivot"))
-        left = left.join(pivots, "band")
-        pairs = left.filter("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-        links, labels = _more_links(keyed, nodes, pairs, links, labels, size, percent)
-        left = _unsettled(left.filter("node != pivot").select("band", "node"), labels)
-        if left.isEmpty():
+    sets = _sets_of(keyed, nodes, members, size)
+    links = None
+    for _ in range(LEVELS):
+        pairs, links = _with_pivots(members, sets, links, percent)
+        labels = components(links)
+        members = _next_bands(pairs, labels)
+        if members.isEmpty():
             break
     else:
-        right = left.withColumnsRenamed({"node": "b", "label": "label_b"})
-        pairs = left.withColumnRenamed("node", "a").join(right, "band").filter("a < b AND label != label_b").select("a", "b").distinct()
-        links, labels = _more_links(keyed, nodes, pairs, links, labels, size, percent)
+        right = members.select("band", F.col("node").alias("b"), F.col("label").alias("label_b"))
+        pairs = members.withColumnRenamed("node", "a").join(right, "band").filter("a < b AND label != label_b").select("a", "b").distinct()
+        found = _compare(pairs, sets, percent).filter("c.linked").select("a", "b")
+        labels = components(stored(links.union(found)))
     grouped = nodes.select("set", "node", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     heads = grouped.groupBy("label").agg(F.min("least").alias("head"))
     heads = grouped.select("set", "label").join(heads, "label").select("set", "head")
@@ -220,29 +233,39 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     return joined.select("doc_id", *KEY, "n_shingles", component.alias("component_id"), first.alias("is_first"))
 
 
-def _unsettled(left: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of bands whose remaining nodes are not all in one component."""
-    left = left.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_bands = left.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band")
-    return stored(left.join(open_bands, "band").select("band", "node", "label"))
-
-
-def _more_links(keyed: DataFrame, nodes: DataFrame, pairs: DataFrame, links: DataFrame | None, labels: DataFrame | None, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Verify pairs of nodes in different components on their full sets; all links so far, and the components."""
-    if labels is not None:
-        for end in ("a", "b"):
-            named = labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
-            pairs = pairs.join(named, end, "left")
-        pairs = pairs.filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
-    pairs = stored(pairs)
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = stored(ends.join(nodes.select("node", *(F.col(f"least.{k}").alias(k) for k in KEY)), "node"))
+def _sets_of(keyed: DataFrame, nodes: DataFrame, members: DataFrame, size: int) -> DataFrame:
+    """Full sets of all nodes that share a band, from one document of each."""
+    wanted = members.select("node").distinct().join(nodes.select("node", *(F.col(f"least.{k}").alias(k) for k in KEY)), "node")
+    wanted = stored(wanted)
     if wanted.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
-    sets = stored(_packed_sets(keyed.join(wanted, list(KEY)).select("node", "text"), size))
+    # Repeated rows have one key; their sets are the same.
+    return stored(_packed_sets(keyed.join(wanted, list(KEY)).select("node", "text"), size).groupBy("node").agg(F.first("shingles").alias("shingles")))
+
+
+def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     first = sets.withColumnsRenamed({"node": "a", "shingles": "x"})
     second = sets.withColumnsRenamed({"node": "b", "shingles": "y"})
-    found = pairs.join(first, "a").join(second, "b").filter(_linked(percent)("x", "y")).select("a", "b")
-    found = stored(found if links is None else found.union(links))
-    return found, components(found)
-
+    return pairs.join(first, "a").join(second, "b").select("a", "b", _comparison(percent)("x", "y").alias("c"))
+
+
+def _with_pivots(members: DataFrame, sets: DataFrame, links: DataFrame | None, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Compare each node with the pivots of its bands (a: pivot, b: node); all links so far."""
+    central = members.groupBy("node").agg(F.sum("n").alias("central"))
+    order = F.struct("central", -F.col("node"))
+    pivots = members.join(central, "node").groupBy("band").agg(F.max_by("node", order).alias("pivot"))
+    pairs = members.join(pivots, "band").filter("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = stored(_compare(pairs, sets, percent))
+    found = pairs.filter("c.linked").select("a", "b")
+    return pairs, stored(found if links is None else found.union(links))
+
+
+def _next_bands(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Bands (band, node, n, label) of nodes of one pivot that share a first element of their differences and are not
+    all in one component."""
+    named = pairs.join(labels.withColumnRenamed("node", "b"), "b", "left").withColumn("label", F.coalesce("label", "b"))
+    split = named.groupBy("a").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("a")
+    rows = named.join(split, "a").select("a", F.col("b").alias("node"), "label", F.explode("c.first").alias("element"))
+    rows = rows.select(F.xxhash64("a", "element").alias("band"), "node", "label")
+    bands = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    return stored(rows.join(bands.filter("low != high").select("band", "n"), "band"))
