@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from textlens.llm.shared import KEY, flat_words, mix, ranges, slices, starts_of, stored, string_hashes, with_key, word_codes
 
 #: Text bytes that a task turns into sketches at a time.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: Coordinates of a band and bands. Sets of similarity 0.85 miss all bands with probability 1e-6, of 0.8 with 2e-4.
 ROWS, BANDS = 7, 36
 #: Levels of bands whose sets are compared with a pivot, before all pairs that are left are compared.
