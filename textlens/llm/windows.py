@@ -17,6 +17,7 @@ shard.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -62,6 +63,7 @@ class Block:
     symbols: np.ndarray
     starts: np.ndarray
     words: pa.Array | None
+    hashes: RunHashes
 
     @staticmethod
     def of(row: dict, scheme: Windows) -> Block:
@@ -69,11 +71,13 @@ class Block:
         data, ends = row["data"].as_buffer(), row["ends"].values.to_numpy(zero_copy_only=False)
         bounds = np.concatenate([[0], ends]).astype(np.int64)
         if not scheme.words:
-            return Block(ids, np.frombuffer(data, np.uint8), bounds, None)
+            symbols = np.frombuffer(data, np.uint8)
+            return Block(ids, symbols, bounds, None, RunHashes(BYTES[symbols]))
         texts = pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(bounds.tobytes()), data)
         flat, counts = flat_words(texts)
         codes, distinct = word_codes(flat)
-        return Block(ids, string_hashes(distinct)[codes], starts_of(counts), flat)
+        symbols = string_hashes(distinct)[codes]
+        return Block(ids, symbols, starts_of(counts), flat, RunHashes(symbols))
 
 
 def blocks_of(docs: DataFrame) -> DataFrame:
@@ -94,24 +98,39 @@ def blocks_of(docs: DataFrame) -> DataFrame:
 BLOCK = pa.schema([("ids", pa.list_(pa.int64())), ("data", pa.binary()), ("ends", pa.list_(pa.int64()))])
 
 
-def gram_hashes(values: np.ndarray, size: int) -> np.ndarray:
-    """A hash of each run of `size` values, from runs of 1, 2, 4, ... of them."""
-    with np.errstate(over="ignore"):
-        part, width = mix(values.astype(np.uint64)), 1
-        out, done = None, 0
-        while True:
-            if size & width:
-                if out is None:
-                    out = part
-                else:
-                    n = len(part) - done
-                    out = out[:n] * np.uint64(0x9FB21C651E98DF25) + part[done : done + n] if n > 0 else part[:0]
-                done += width
-            if width * 2 > size:
-                return mix(out[: max(0, len(values) - size + 1)])
-            n = len(part) - width
-            part = mix(part[: max(n, 0)] * np.uint64(0xD6E8FEB86659FD93) + part[width:], width) if n > 0 else part[:0]
-            width *= 2
+#: An odd base and its inverse modulo 2^64.
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, count: int) -> np.ndarray:
+    """The first powers of a base modulo 2^64; the longest list so far is kept."""
+    if len(_powers.get(base, ())) < count:
+        factors = np.full(max(count, 1 << 16), base, np.uint64)
+        factors[0] = 1
+        _powers[base] = np.cumprod(factors)
+    return _powers[base][:count]
+
+
+class RunHashes:
+    """Hashes of any runs of a sequence of 64-bit values, from prefix sums of value times power."""
+
+    def __init__(self, values: np.ndarray):
+        self.n = len(values)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers(BASE, self.n))])
+
+    def of(self, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+        return (self.sums[start + length] - self.sums[start]) * powers(INVERSE, self.n + 1)[start]
+
+    def all(self, length: int) -> np.ndarray:
+        """Of every run of one length."""
+        count = max(0, self.n - length + 1)
+        return (self.sums[length : length + count] - self.sums[:count]) * powers(INVERSE, count)
+
+
+#: A random value for each byte.
+BYTES = mix(np.arange(256, dtype=np.uint64), 77)
 
 
 def least_of(values: np.ndarray, width: int) -> np.ndarray:
@@ -140,7 +159,7 @@ def segments_of(block: Block, scheme: Windows) -> Segments:
     if not counts.sum():
         none = np.zeros(0, np.int64)
         return Segments(np.zeros(0, np.uint64), none, none, none)
-    hashes = gram_hashes(block.symbols, scheme.anchor)
+    hashes = block.hashes.all(scheme.anchor)
     order = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
     at = (least_of(order, scheme.size - scheme.anchor + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     window = ranges(block.starts[:-1], counts)
@@ -153,12 +172,13 @@ def segments_of(block: Block, scheme: Windows) -> Segments:
 
 
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+    """Shards are ranges of hashes, so hashes in order are in order of shard, too."""
+    return (((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
 
 
 @dataclass
 class Anchors:
-    """Distinct anchors of a block by (shard, hash); `of` numbers them for each segment."""
+    """Distinct anchors of a block in order of hash, with the places of each; `of` numbers them for each segment."""
 
     hashes: np.ndarray
     shards: np.ndarray
@@ -167,18 +187,17 @@ class Anchors:
 
     @staticmethod
     def of_segments(segments: Segments, shards: int, across: bool) -> Anchors:
-        distinct, number = np.unique(segments.anchors, return_inverse=True)
-        shard = shard_of(distinct, shards)
-        order = np.lexsort((distinct, shard))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        number = place[number]
-        if across:  # documents, not places
-            pairs = np.unique(number * (int(segments.doc.max(initial=0)) + 1) + segments.doc)
-            places = np.bincount(pairs // (int(segments.doc.max(initial=0)) + 1), minlength=len(order))
-        else:
-            places = np.bincount(number, minlength=len(order))
-        return Anchors(distinct[order], shard[order], number, places)
+        order = np.argsort(segments.anchors, kind="stable")
+        anchor, doc = segments.anchors[order], segments.doc[order]
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = anchor[1:] != anchor[:-1]
+        number = np.empty(len(order), np.int64)
+        number[order] = group = np.cumsum(fresh) - 1
+        distinct = anchor[fresh]
+        if across:  # documents, not places: the sort keeps them together
+            fresh[1:] |= doc[1:] != doc[:-1]
+            group = group[fresh]
+        return Anchors(distinct, shard_of(distinct, shards), number, np.bincount(group, minlength=len(distinct)))
 
 
 def _anchor_rows(scheme: Windows, shards: int):
@@ -265,12 +284,9 @@ def chosen_segments(row: dict, block: Block, scheme: Windows, shards: int) -> Ch
     if not len(place):
         none = np.zeros(0, np.int64)
         return Chosen(none, none, none, none, none, none)
-    # First and last window overlap, so they and the length are the whole content.
-    whole = gram_hashes(block.symbols, scheme.size)
-    first, last = whole[place], whole[place + count - 1]
-    between = mix(first, 1) ^ mix(last, 2) ^ mix(count.astype(np.uint64), 4)
-    by_anchor = np.concatenate([segments.anchors[own], np.zeros(len(single), np.uint64)])
-    shard = shard_of(np.where(np.arange(len(place)) < own.sum(), by_anchor, mix(first, 5)), shards)
+    between = mix(block.hashes.of(place, count + scheme.size - 1), 5)
+    by_anchor = np.concatenate([segments.anchors[own], between[own.sum() :]])
+    shard = shard_of(by_anchor, shards)
     order = np.lexsort((between, shard))
     fresh = np.ones(len(order), bool)
     fresh[1:] = (shard[order][1:] != shard[order][:-1]) | (between[order][1:] != between[order][:-1])
@@ -347,9 +363,10 @@ def _solved(scheme: Windows):
         counts = run_value[pick] < most[item] if scheme.across else run_value[pick] >= 2
         item, pick = item[counts], pick[counts]
         number = item - (np.cumsum(sizes) - sizes)[owner[item]]
-        table = np.stack([number, run_first[pick], run_count[pick], run_value[pick]], axis=1).astype(np.int64)
+        table = np.stack([number, run_first[pick], run_count[pick], run_value[pick]]).astype(np.int64)
         ends = np.searchsorted(owner[item], np.arange(len(frame) + 1))
-        return pd.DataFrame({"block": frame["block"], "shard": frame["shard"], "runs": [table[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]})
+        packed = [zlib.compress(table[:, a:b].tobytes(), 1) if b > a else b"" for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        return pd.DataFrame({"block": frame["block"], "shard": frame["shard"], "runs": packed})
 
     return run
 
@@ -362,7 +379,7 @@ def _removed(row: dict, block: Block, scheme: Windows, shards: int) -> np.ndarra
         chosen = chosen_segments(row, block, scheme, shards)
         tables = []
         for answer in answers:
-            table = np.frombuffer(answer["runs"], np.int64).reshape(-1, 4).copy()
+            table = np.frombuffer(zlib.decompress(answer["runs"]), np.int64).reshape(4, -1).T.copy()
             table[:, 0] += np.searchsorted(chosen.shard, answer["shard"])
             tables.append(table)
         table = np.concatenate(tables)
