@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlens.llm.shared import flat_words, mix, partitions_for, ranges, slices, starts_of, stored, string_hashes, word_codes
+from textlens.llm.shared import mix, partitions_for, ranges, slices, starts_of, stored
 
 #: Text bytes of a block; text bytes for which there is one shard; places from which on an anchor is frequent.
 BLOCK_BYTES, SHARD_BYTES, FREQUENT = 2 << 20, 4 << 20, 4096
@@ -57,27 +57,35 @@ class Windows:
 
 @dataclass
 class Block:
-    """Symbols of a block's documents."""
+    """Symbols of a block's documents. For words, a symbol is the hash of a word, whose place in the data is kept."""
 
     ids: np.ndarray
+    data: np.ndarray
     symbols: np.ndarray
     starts: np.ndarray
-    words: pa.Array | None
+    words: tuple[np.ndarray, np.ndarray] | None
     hashes: RunHashes
 
     @staticmethod
     def of(row: dict, scheme: Windows) -> Block:
         ids = row["ids"].values.to_numpy(zero_copy_only=False)
-        data, ends = row["data"].as_buffer(), row["ends"].values.to_numpy(zero_copy_only=False)
+        data, ends = np.frombuffer(row["data"].as_buffer(), np.uint8), row["ends"].values.to_numpy(zero_copy_only=False)
         bounds = np.concatenate([[0], ends]).astype(np.int64)
+        letters = RunHashes(BYTES[data])
         if not scheme.words:
-            symbols = np.frombuffer(data, np.uint8)
-            return Block(ids, symbols, bounds, None, RunHashes(BYTES[symbols]))
-        texts = pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(bounds.tobytes()), data)
-        flat, counts = flat_words(texts)
-        codes, distinct = word_codes(flat)
-        symbols = string_hashes(distinct)[codes]
-        return Block(ids, symbols, starts_of(counts), flat, RunHashes(symbols))
+            return Block(ids, data, data, bounds, None, letters)
+        inner = ~BLANK[data]
+        first, last = inner.copy(), inner.copy()
+        first[1:] &= ~inner[:-1]
+        last[:-1] &= ~inner[1:]
+        edge = bounds[:-1][bounds[:-1] < len(data)]
+        first[edge] = inner[edge]
+        edge = bounds[1:][bounds[1:] > 0] - 1
+        last[edge] = inner[edge]
+        start = np.flatnonzero(first)
+        length = np.flatnonzero(last) + 1 - start
+        symbols = mix(letters.of(start, length) ^ length.astype(np.uint64), 9)
+        return Block(ids, data, symbols, np.searchsorted(start, bounds), (start, length), RunHashes(symbols))
 
 
 def blocks_of(docs: DataFrame) -> DataFrame:
@@ -129,8 +137,9 @@ class RunHashes:
         return (self.sums[length : length + count] - self.sums[:count]) * powers(INVERSE, count)
 
 
-#: A random value for each byte.
+#: A random value for each byte, and which bytes are white space.
 BYTES = mix(np.arange(256, dtype=np.uint64), 77)
+BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
 
 
 def least_of(values: np.ndarray, width: int) -> np.ndarray:
@@ -403,8 +412,14 @@ def _kept(block: Block, removed: np.ndarray) -> pa.Array:
     if block.words is None:
         data = block.symbols[keep].tobytes()
         return pa.array([data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())
-    left = block.words.filter(pa.array(keep)).to_pylist()
-    return pa.array([" ".join(left[a:b]).encode() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())
+    # Each kept word with one byte more, which becomes the space after it.
+    start, length = block.words[0][keep], block.words[1][keep] + 1
+    at = ranges(start, length)
+    data = block.data[np.minimum(at, len(block.data) - 1)] if len(at) else np.zeros(0, np.uint8)
+    after = starts_of(length)
+    data[after[1:] - 1] = 32
+    raw, cuts = data.tobytes(), after[ends].tolist()
+    return pa.array([raw[a : max(a, b - 1)] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
 
 
 def _results(scheme: Windows, shards: int):
