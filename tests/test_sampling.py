@@ -61,3 +61,20 @@ def test_split(spark, monkeypatch, limit):
 def test_sample_is_a_narrow_filter(spark):
     plan = exact_sample(spark.range(1000).withColumnRenamed("id", "doc_id"), 10)
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("limit", [10_000, 50])
+def test_equal_and_missing_ids(spark, monkeypatch, limit):
+    """Many rows with one id or none: sizes stay exact, and rows that differ are drawn alike every time."""
+    monkeypatch.setattr(sampling, "KEYS_ON_DRIVER", limit)
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") < 15_000, F.lit(7)).when(F.col("id") < 18_000, None).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(-1)).alias("text"),
+    )
+    for n in (1, 3_000, 9_000, 16_000, 19_999):
+        one, other = (exact_sample(r, n).groupBy("doc_id", "text").count().collect() for r in (rows, rows.repartition(5)))
+        assert sum(r["count"] for r in one) == n
+        assert sorted(map(str, one)) == sorted(map(str, other))
+    split, counts = stratified_split(rows.withColumn("label", F.when(F.col("text") < 0, "a").otherwise("b")))
+    got = {r["label"]: r["count"] for r in split.filter("is_test").groupBy("label").count().collect()}
+    assert got == split_quotas(counts) and split.count() == 20_000

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textlens.operators.preparation import binary_labels, cleaned_rows, row_funnel, three_class_labels
+from textlens.operators.sampling import exact_sample
 from textlens.operators.tfidf import TfidfSettings
 from textlens.plans.retrieval import RetrievalSettings, index_reviews
 from textlens.sources.index import load_index, save_index
@@ -109,3 +110,30 @@ def test_saved_index_gives_the_same_results(spark, tmp_path, reviews):
     assert got == sorted(index.search(queries, 2).select(*columns).collect()) and len(got) == 6
     assert loaded.statistics().collect() == index.statistics().collect()
     assert sorted(loaded.documents.collect()) == sorted(index.documents.collect())
+
+
+def test_ids_do_not_depend_on_the_cluster(spark, tmp_path):
+    for i in range(4):
+        rows = "".join(f"H{i},{i}.5,good {j},bad {j}\n" for j in range(50))
+        (tmp_path / f"part{i}.csv").write_text("Hotel_Name,Reviewer_Score,Positive_Review,Negative_Review\n" + rows)
+    draws = []
+    for size in ("128m", "600b"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            reviews = read_reviews_csv(spark, str(tmp_path), multi_line=False)
+            draws.append(sorted(map(str, exact_sample(reviews, 20).collect())))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(draws[0]) == 20 and draws[0] == draws[1]
+
+
+def test_queries_of_several_files(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("one\n\ntwo\n")
+    (tmp_path / "b.txt").write_text("three\n")
+    got = sorted((r[0], r[1]) for r in read_queries(spark, str(tmp_path)).collect())
+    assert got == [(1, "one"), (2, "two"), (3, "three")]
+
+
+def test_cleaning_uses_the_chosen_column(spark):
+    rows = spark.createDataFrame([(1, "Own text", "other", "x"), (2, "12", "other", "x")], "doc_id long, negative_text string, Negative_Review string, Positive_Review string")
+    assert [r["clean_text"] for r in cleaned_rows(rows, "negative_text").collect()] == ["own text"]

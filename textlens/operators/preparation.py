@@ -52,26 +52,13 @@ def check_text_column(text_column: str) -> str:
     return text_column
 
 
-# The columns a text column is joined from. Cleaning can start from these directly, which gives the
-# same words without the whitespace pass and keeps the row filter cheap wherever Spark pushes it.
-PARTS = {
-    "review_text": ("Positive_Review", "Negative_Review"),
-    "positive_text": ("Positive_Review",),
-    "negative_text": ("Negative_Review",),
-}
-
-
 def cleaned_rows(df: DataFrame, text_column: str = "review_text") -> DataFrame:
-    """Add ``clean_text`` of the chosen text and drop the rows with no letters left.
+    """Add ``clean_text`` of the chosen text column and drop the rows with no letters left.
 
     An empty text has no letters either, so one filter does for both.
     """
-    parts = PARTS[check_text_column(text_column)]
-    require_columns(df, [text_column, *parts])
-    with_letters = has_letters(parts[0])
-    for part in parts[1:]:
-        with_letters = with_letters | has_letters(part)
-    return df.filter(with_letters).withColumn("clean_text", clean_text(F.concat_ws(" ", *parts)))
+    require_columns(df, [check_text_column(text_column)])
+    return df.filter(has_letters(text_column)).withColumn("clean_text", clean_text(text_column))
 
 
 def row_funnel(df: DataFrame, text_column: str = "review_text", scheme: str | None = "binary") -> DataFrame:

@@ -5,6 +5,7 @@ prefixes, so that the draw itself is a plain filter: no sort, no window, no row
 """
 
 import math
+from dataclasses import dataclass
 from fractions import Fraction
 
 from pyspark import StorageLevel
@@ -20,10 +21,26 @@ def hash_key(id_column: str = "doc_id", seed: int = 42) -> Column:
     return F.md5(F.concat_ws(":", F.col(id_column).cast("string"), F.lit(str(seed))))
 
 
-def smallest_key_cuts(keys: DataFrame, counts: dict[str, int], quotas: dict[str, int]) -> dict[str, str]:
+@dataclass(frozen=True)
+class Cut:
+    """Of a group, all rows with a smaller key are drawn, and ``take`` of the ``have`` rows with this key."""
+
+    key: str
+    take: int
+    have: int
+
+
+def content_key(columns: list[str]) -> Column:
+    """128 bits over all columns of a row; a null differs from every value."""
+    parts = [x for c in columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return F.concat(*(F.lpad(F.hex(h), 16, "0") for h in (F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts))))
+
+
+def smallest_key_cuts(keys: DataFrame, counts: dict[str, int], quotas: dict[str, int]) -> dict[str, Cut]:
     """Per group, the hash key of the quota-th smallest row of ``keys`` (columns grp, key).
 
-    Counts per hash prefix narrow the search until a group has few keys left under its prefix.
+    Counts per hash prefix narrow the search until a group has few keys left under its prefix, or only
+    equal ones. Equal keys are counted, not brought to the driver.
     """
     prefix = {g: "" for g in quotas}
     size = dict(counts)
@@ -46,11 +63,42 @@ def smallest_key_cuts(keys: DataFrame, counts: dict[str, int], quotas: dict[str,
                 want[g] -= row["count"]
         open_groups = [g for g in open_groups if size[g] > KEYS_ON_DRIVER and len(prefix[g]) < 32]
     drawn = [g for g in quotas if quotas[g] > 0]
-    if not drawn:
-        return {}
-    scope = _any_of((F.col("grp") == g) & F.col("key").startswith(prefix[g]) for g in drawn)
-    rest = keys.filter(scope).select("grp", "key").collect()
-    return {g: sorted(r["key"] for r in rest if r["grp"] == g)[want[g] - 1] for g in drawn}
+    cuts = {g: Cut(prefix[g], want[g], size[g]) for g in drawn if len(prefix[g]) >= 32}
+    searched = [g for g in drawn if g not in cuts]
+    if not searched:
+        return cuts
+    scope = _any_of((F.col("grp") == g) & F.col("key").startswith(prefix[g]) for g in searched)
+    rest = keys.filter(scope).groupBy("grp", "key").count().collect()
+    for g in searched:
+        for row in sorted((r for r in rest if r["grp"] == g), key=lambda r: r["key"]):
+            if want[g] <= row["count"]:
+                cuts[g] = Cut(row["key"], want[g], row["count"])
+                break
+            want[g] -= row["count"]
+    return cuts
+
+
+def _draw(df: DataFrame, flag: str, group: Column, key: Column, cuts: dict[str, Cut]) -> DataFrame:
+    """Add ``flag``: whether a row is drawn. Equal keys are told apart by the rows' content; rows that are
+    equal altogether are one row and a number, so any of them serve."""
+    columns = df.columns
+    below = _any_of((group == g) & ((key <= c.key) if c.take == c.have else (key < c.key)) for g, c in cuts.items())
+    tied = {g: c for g, c in cuts.items() if c.take < c.have}
+    flagged = df.withColumn(flag, below)
+    if not tied:
+        return flagged
+    at_cut = _any_of((group == g) & (key == c.key) for g, c in tied.items())
+    result = flagged.filter(~at_cut)
+    content = content_key(columns)
+    for g, c in tied.items():
+        rows = df.filter((group == g) & (key == c.key))
+        keys = rows.select(F.lit(g).alias("grp"), content.alias("key"))
+        cut = smallest_key_cuts(keys, {g: c.have}, {g: c.take})[g]
+        result = result.unionByName(rows.filter(content != cut.key).withColumn(flag, content < cut.key))
+        equal = rows.filter(content == cut.key).limit(1)
+        copies = equal.withColumn(flag, F.explode(F.transform(F.sequence(F.lit(1), F.lit(cut.have)), lambda i: i <= cut.take)))
+        result = result.unionByName(copies)
+    return result
 
 
 def _any_of(conditions) -> Column:
@@ -71,8 +119,9 @@ def exact_sample(df: DataFrame, n: int | None, seed: int = 42, id_column: str =
     if n >= total:
         return df
     keys = df.select(F.lit("all").alias("grp"), hash_key(id_column, seed).alias("key"))
-    cut = smallest_key_cuts(keys, {"all": total}, {"all": n})["all"]
-    return df.filter(hash_key(id_column, seed) <= cut)
+    cuts = smallest_key_cuts(keys, {"all": total}, {"all": n})
+    drawn = _draw(df, "__drawn", F.lit("all"), hash_key(id_column, seed), cuts)
+    return drawn.filter("__drawn").drop("__drawn")
 
 
 def split_quotas(class_counts: dict[str, int], test_size: float = 0.2) -> dict[str, int]:
@@ -111,6 +160,5 @@ def stratified_split(
         cuts = smallest_key_cuts(keys, counts, split_quotas(counts, test_size))
     finally:
         keys.unpersist()
-    key = hash_key(id_column, seed)
-    is_test = _any_of((F.col(label) == c) & (key <= cut) for c, cut in cuts.items())
-    return df.withColumn("is_test", is_test), dict(sorted(counts.items()))
+    split = _draw(df, "is_test", F.col(label), hash_key(id_column, seed), cuts)
+    return split, dict(sorted(counts.items()))

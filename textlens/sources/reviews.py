@@ -2,7 +2,7 @@
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textlens.functions.constants import NEGATIVE_PLACEHOLDERS, POSITIVE_PLACEHOLDERS
@@ -30,8 +30,9 @@ def read_reviews_csv(
 
     Quoted fields may hold line breaks and doubled quotes. With ``multi_line`` Spark reads one file
     per task; pass False for files known to have no line breaks in fields, so that large files split.
-    Rows of few files are spread over the cluster for the steps that follow.
-    ``doc_id`` is the given id column, or else a number unique per row of this read.
+    ``doc_id`` is the given id column, or else a hash of the row's file name and content, so it depends
+    neither on the cluster nor on how files are split. Equal rows of one file have equal ids; draws and
+    splits treat them one by one.
     """
     raw = (
         spark.read.option("header", True)
@@ -41,19 +42,27 @@ def read_reviews_csv(
         .csv(path)
     )
     columns = [na_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns]
-    doc_id = F.col(id_column).cast("long") if id_column else F.monotonically_increasing_id()
-    return spread(raw.select(doc_id.alias("doc_id"), *columns))
+    if id_column:
+        return spread(raw.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), *columns))
+    parts = [F.element_at(F.split(F.input_file_name(), "/"), -1)]
+    for c in raw.columns:  # a null differs from every text
+        parts += [F.col(f"`{c}`").isNull(), F.col(f"`{c}`")]
+    return spread(raw.select(F.xxhash64(*parts).alias("doc_id"), *columns))
+
+
+#: A table with fewer bytes for each core may sit in a few splits, and moving it costs each core no more than this.
+SPREAD_BYTES = 128 << 20
 
 
 def spread(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Repartition by row id only where the scan has fewer splits than the cluster has cores.
+    """Repartition a small table by row id: its rows may fill fewer tasks than the cluster has cores.
 
-    A large table comes with enough splits and passes through unchanged, without a shuffle.
+    The bytes of the table decide, not its splits, of which some hold no rows. A large table passes through
+    unchanged, without a shuffle. No result depends on it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores, key) if size < cores * SPREAD_BYTES else df
 
 
 def reviews_from_documents(documents: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -106,16 +115,25 @@ def with_text_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def read_queries(spark: SparkSession, path: str) -> DataFrame:
-    """(query_id, query) from a text file with one query per line; blank lines are dropped."""
-    lines = F.transform(F.split("value", LINE_END), strip)
-    queries = (
-        spark.read.text(path, wholetext=True)
-        .select(F.posexplode(F.filter(lines, lambda q: q != "")).alias("pos", "query"))
-        .select((F.col("pos") + 1).alias("query_id"), "query")
+def read_queries(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(query_id, query) from text files with one query per line; blank lines are dropped.
+
+    Lines are read by line, also from large files, and numbered from 1 by file name and place: per-task
+    counts shift the numbers, so no task sees all lines.
+    """
+    rows = spark.read.text(path).select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row"), "value")
+    lines = rows.select("file", "row", F.posexplode(F.split("value", LINE_END)).alias("pos", "query"))
+    lines = lines.withColumn("query", strip("query")).filter(F.col("query") != "")
+    numbered = lines.withColumn("part", F.struct("file", F.shiftright("row", 33)))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each file and task.
+    parts = numbered.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
+    within = Window.partitionBy("part").orderBy("row", "pos")
+    queries = numbered.join(parts, "part").select(
+        (F.row_number().over(within) + F.col("before")).cast("int").alias("query_id"), "query"
     )
     if queries.isEmpty():
-        raise ValueError("The query file is empty.")
+        raise ValueError(f"No line of {path} holds a query.")
     return queries
 
 
