@@ -178,8 +178,9 @@ def test_large_group_of_near_copies(spark, monkeypatch):
             words[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
         rows.append((i, " ".join(words)))
     rows += [(500 + i, " ".join(f"y{i}z{j}" for j in range(50))) for i in range(20)]
-    for levels in (1, 3):
-        monkeypatch.setattr(near_dedup, "LEVELS", levels)
+    for rows_of_band, bands in ((7, 36), (1, 40)):
+        monkeypatch.setattr(near_dedup, "ROWS", rows_of_band)
+        monkeypatch.setattr(near_dedup, "BANDS", bands)
         got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)
         assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == sorted(brute.near_duplicates(rows))
 
@@ -203,11 +204,13 @@ def test_first_elements_of_differences():
             x = near(p)
             y = near(x)
             arrays = [np.array(sorted(s), np.uint64) for s in (p, x, y)]
-            (lx, fx), (ly, fy) = (near_dedup.compared(arrays[0], a, percent) for a in arrays[1:])
+            (lx, fx, dx), (ly, fy, dy) = (near_dedup.compared(arrays[0], a, percent) for a in arrays[1:])
             linked = 100 * len(x & y) >= percent * len(x | y)
             if linked and x != y and not (lx and ly) and x != p and y != p:
                 seen += 1
-                assert set(fx.tolist()) & set(fy.tolist())
+                both = [e for e in fx.tolist() if e in set(fy.tolist())]
+                rest = min(dx - fx.tolist().index(both[0]), dy - fy.tolist().index(both[0]))
+                assert 2 * rest >= dx + dy - (len(x) + len(y)) * (100 - percent) // (100 + percent)
         assert seen > 100
 
 

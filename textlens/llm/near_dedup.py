@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textlens.llm.shared import KEY, flat_words, mix, ranges, slices, starts_of, stored, string_hashes, with_key, word_codes
@@ -17,8 +17,6 @@ from textlens.llm.shared import KEY, flat_words, mix, ranges, slices, starts_of,
 BATCH_BYTES = 2 << 20
 #: Coordinates of a band and bands. Sets of similarity 0.85 miss all bands with probability 1e-6, of 0.8 with 2e-4.
 ROWS, BANDS = 7, 36
-#: Levels of bands whose sets are compared with a pivot, before all pairs that are left are compared.
-LEVELS = 3
 #: Keys of sets to be verified are a broadcast up to this number (16 bytes each), a shuffle join beyond.
 BROADCAST_KEYS = 1_000_000
 
@@ -138,8 +136,8 @@ def _packed_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "node long, shingles binary")
 
 
-def compared(p: np.ndarray, x: np.ndarray, percent: int) -> tuple[bool, np.ndarray]:
-    """Whether sets p and x are linked, and the first elements of their difference.
+def compared(p: np.ndarray, x: np.ndarray, percent: int) -> tuple[bool, np.ndarray, int]:
+    """Whether sets p and x are linked, the first elements of their difference, and its size.
 
     Let D(x) be the difference of x and p. Two sets x and y differ in D(x) ^ D(y); if they are linked, that has at most
     (100 - percent) / (100 + percent) of |x| + |y| elements, so D(x) and D(y) must share some if one of the two is not
@@ -154,15 +152,27 @@ def compared(p: np.ndarray, x: np.ndarray, percent: int) -> tuple[bool, np.ndarr
         shared = (size * (100 + percent) + (100 - percent) * (len(p) - len(x))) // (2 * (100 + percent)) + 1
     else:  # the other one's size is at most 100 / percent of this one's
         shared = size - len(x) * (100 - percent) // percent
-    return linked, np.concatenate([new, lost])[: size - max(1, shared) + 1]
+    return linked, np.concatenate([new, lost])[: size - max(1, shared) + 1], size
+
+
+def _may_link(percent: int, one: str, other: str) -> Column:
+    """Whether two sets that share an element of their differences can be linked, if it is the first they share.
+
+    They then share at most what follows in the shorter rest, and must share half of what the sizes of both
+    differences exceed the difference that a link allows.
+    """
+    x, y = ({k: F.col(f"{k}_{side}") for k in ("size", "place", "n")} for side in (one, other))
+    allowed = F.floor((x["n"] + y["n"]) * (100 - percent) / (100 + percent))
+    return 2 * F.least(x["size"] - x["place"], y["size"] - y["place"]) >= x["size"] + y["size"] - allowed
 
 
 def _comparison(percent: int):
     def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
         found = [compared(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(a, b, strict=True)]
-        return pd.DataFrame({"linked": [x for x, _ in found], "first": [x.view(np.int64) for _, x in found]}, columns=["linked", "first"])
+        columns = zip(*((linked, first.view(np.int64), size, len(y) // 8) for (linked, first, size), y in zip(found, b, strict=True)), strict=True)
+        return pd.DataFrame(dict(zip(("linked", "first", "size", "n"), map(list, columns), strict=False)), columns=["linked", "first", "size", "n"])
 
-    return F.pandas_udf(run, "linked boolean, first array<long>")
+    return F.pandas_udf(run, "linked boolean, first array<long>, size long, n long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -194,11 +204,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     gives an empty result.
 
     Equal sets become one node, and nodes that share a band are candidates. Each band's nodes are compared with its
-    pivot, the node that shares bands with most others. Links join components. Nodes of a band that are left in different
-    components make new bands: each differs from the pivot, and two of them can only be linked if they share one of the
-    first elements of that difference (see `compared`). So a large group costs a comparison for each of its members, and
-    no pair that shares a band is left out: after some levels, all pairs left in a band are compared. Every link is
-    confirmed on the full sets.
+    pivot, the node that shares bands with most others, and links join components. Nodes of a band that are left in
+    different components make finer bands: each differs from the pivot, and two of them can only be linked if they
+    share one of the first elements of those differences, early enough (see `compared`, `_may_link`). Finer bands are
+    compared with pivots of their own, and then all their pairs that are left and may be linked. So a large group costs a
+    comparison for each of its members, and no pair that shares a band is left out. Every link is confirmed on the
+    full sets.
     """
     keyed = with_key(docs.select("doc_id", "text"))
     sketched = stored(_sketched(keyed, size))
@@ -208,21 +219,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     nodes = sketched.filter("set IS NOT NULL").groupBy("set").agg(least, F.first("bands").alias("bands"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()))
     rows = nodes.select("node", F.explode("bands").alias("band"))
-    shared = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = rows.groupBy("band").agg(F.count("*").alias("n_band")).filter("n_band > 1")
     members = stored(rows.join(shared, "band"))
     sets = _sets_of(keyed, nodes, members, size)
-    links = None
-    for _ in range(LEVELS):
-        pairs, links = _with_pivots(members, sets, links, percent)
-        labels = components(links)
-        members = _next_bands(pairs, labels)
-        if members.isEmpty():
+    pairs = stored(_compare(_pivot_pairs(members, None), sets, percent))
+    links = stored(pairs.filter("c.linked").select("a", "b"))
+    labels = components(links)
+    finer = _finer_bands(pairs, labels)
+    for candidates in (_pivot_pairs, _other_pairs):
+        if finer.isEmpty():
             break
-    else:
-        right = members.select("band", F.col("node").alias("b"), F.col("label").alias("label_b"))
-        pairs = members.withColumnRenamed("node", "a").join(right, "band").filter("a < b AND label != label_b").select("a", "b").distinct()
-        found = _compare(pairs, sets, percent).filter("c.linked").select("a", "b")
-        labels = components(stored(links.union(found)))
+        found = _compare(candidates(finer, percent), sets, percent).filter("c.linked").select("a", "b")
+        links = stored(links.union(found))
+        labels = components(links)
+        finer = _still_open(finer.drop("label", "n_band"), labels)
     grouped = nodes.select("set", "node", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     heads = grouped.groupBy("label").agg(F.min("least").alias("head"))
     heads = grouped.select("set", "label").join(heads, "label").select("set", "head")
@@ -249,23 +259,37 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").select("a", "b", _comparison(percent)("x", "y").alias("c"))
 
 
-def _with_pivots(members: DataFrame, sets: DataFrame, links: DataFrame | None, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Compare each node with the pivots of its bands (a: pivot, b: node); all links so far."""
-    central = members.groupBy("node").agg(F.sum("n").alias("central"))
+def _pivot_pairs(members: DataFrame, percent: int | None) -> DataFrame:
+    """Pairs (a: pivot, b: node) of bands; with `percent`, those that may be linked."""
+    central = members.groupBy("node").agg(F.sum("n_band").alias("central"))
     order = F.struct("central", -F.col("node"))
-    pivots = members.join(central, "node").groupBy("band").agg(F.max_by("node", order).alias("pivot"))
-    pairs = members.join(pivots, "band").filter("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    pairs = stored(_compare(pairs, sets, percent))
-    found = pairs.filter("c.linked").select("a", "b")
-    return pairs, stored(found if links is None else found.union(links))
+    pivots = members.join(central, "node").groupBy("band").agg(F.max_by(F.struct(*members.columns), order).alias("p"))
+    joined = members.join(pivots.select("band", "p"), "band").filter("node != p.node")
+    if percent is not None:
+        sides = {f"{k}_p": F.col(f"p.{k}") for k in ("size", "place", "n", "label")} | {f"{k}_x": F.col(k) for k in ("size", "place", "n")}
+        joined = joined.withColumns(sides).filter(_may_link(percent, "p", "x") & (F.col("label") != F.col("label_p")))
+    return joined.select(F.col("p.node").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def _other_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """All pairs of bands in different components that may be linked."""
+    sides = [members.select("band", *(F.col(k).alias(f"{k}_{side}") for k in ("node", "size", "place", "n", "label"))) for side in ("x", "y")]
+    apart = (F.col("node_x") < F.col("node_y")) & (F.col("label_x") != F.col("label_y"))
+    joined = sides[0].join(sides[1], (sides[0]["band"] == sides[1]["band"]) & apart & _may_link(percent, "x", "y"))
+    return joined.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
 
 
-def _next_bands(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Bands (band, node, n, label) of nodes of one pivot that share a first element of their differences and are not
-    all in one component."""
+def _finer_bands(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Bands of the nodes of one pivot that share a first element of their differences and are not all in one component:
+    band, node, n_band (members), label, place of the element, size of the difference, n (size of the set)."""
     named = pairs.join(labels.withColumnRenamed("node", "b"), "b", "left").withColumn("label", F.coalesce("label", "b"))
     split = named.groupBy("a").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("a")
-    rows = named.join(split, "a").select("a", F.col("b").alias("node"), "label", F.explode("c.first").alias("element"))
-    rows = rows.select(F.xxhash64("a", "element").alias("band"), "node", "label")
-    bands = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
-    return stored(rows.join(bands.filter("low != high").select("band", "n"), "band"))
+    rows = named.join(split, "a").select("a", F.col("b").alias("node"), F.col("c.size").alias("size"), F.col("c.n").alias("n"), F.posexplode("c.first").alias("place", "element"))
+    return _still_open(rows.select(F.xxhash64("a", "element").alias("band"), "node", "place", "size", "n"), labels)
+
+
+def _still_open(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of bands with nodes of more than one component, with labels and the number of the band's rows."""
+    rows = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    bands = rows.groupBy("band").agg(F.count("*").alias("n_band"), F.min("label").alias("low"), F.max("label").alias("high"))
+    return stored(rows.join(bands.filter("low != high").select("band", "n_band"), "band"))
