@@ -78,3 +78,13 @@ def test_curves(spark, monkeypatch, levels, per_range):
     assert row["average_precision"] == pytest.approx(ap)
     assert row["roc_auc"] == pytest.approx(pairs / pos / neg)
     assert row["prevalence"] == pytest.approx(pos / len(rows))
+
+
+@pytest.mark.parametrize("only", ["negative", "positive"])
+def test_curves_without_a_class(spark, only):
+    rows = spark.createDataFrame([(only, 0.2), (only, 0.9)], "label string, target_score double")
+    result = curves.curve(rows)
+    metrics = result.metrics().head()
+    assert metrics["roc_auc"] is None and metrics["prevalence"] == (1.0 if only == "negative" else 0.0)
+    assert (metrics["average_precision"] is None) == (only == "positive")
+    assert len(result.roc().collect()) == 3 and len(result.precision_recall().collect()) == 3

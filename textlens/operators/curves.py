@@ -39,7 +39,7 @@ class Curve:
 
     def roc(self) -> DataFrame:
         """(point, x, y, threshold) from (0, 0) with an infinite threshold; points inside a straight
-        stretch are left out."""
+        stretch are left out. A rate of a class without rows is null."""
         steps = self.steps.filter(
             (F.col("step") == F.col("n_steps"))
             | (F.col("n_steps") <= 2)
@@ -50,8 +50,8 @@ class Curve:
         kept = _numbered(steps, "kept")
         points = kept.select(
             F.col("kept").alias("point"),
-            (F.col("fp") / F.col("negatives")).alias("x"),
-            (F.col("tp") / F.col("positives")).alias("y"),
+            F.try_divide("fp", "negatives").alias("x"),
+            F.try_divide("tp", "positives").alias("y"),
             F.col("score").alias("threshold"),
         )
         origin = self.steps.filter(F.col("step") == 1).select(
@@ -64,11 +64,12 @@ class Curve:
 
     def metrics(self) -> DataFrame:
         """One row: average_precision, roc_auc, prevalence. Every step brings its own share of each,
-        so plain sums suffice and no step needs its neighbours."""
+        so plain sums suffice and no step needs its neighbours. Without rows of the target class, or without
+        others, what needs them is null."""
         precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-        gain = F.col("hits") / F.col("positives")
-        width = F.col("misses") / F.col("negatives")
-        height = (2 * F.col("tp") - F.col("hits")) / (2 * F.col("positives"))
+        gain = F.try_divide("hits", "positives")
+        width = F.try_divide("misses", "negatives")
+        height = F.try_divide(2 * F.col("tp") - F.col("hits"), 2 * F.col("positives"))
         return self.steps.agg(
             F.sum(gain * precision).alias("average_precision"),
             F.sum(width * height).alias("roc_auc"),
