@@ -42,7 +42,7 @@ def repeats(words, least):
     return hit
 
 
-def quality(text, least=8, max_covered=0.3, max_longest=100):
+def quality(text, least=8, max_covered=0.45, max_longest=100):
     text = text or ""
     words = WORD.findall(text)
     n, repeated, covered = len(words), len(repeats(words, 3)), len(repeats(words, least))

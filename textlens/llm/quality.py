@@ -122,7 +122,7 @@ def repetition_measures(text: Column, least: int = 8) -> Column:
     return F.pandas_udf(run, "n_repeat_words long, covered_words long, longest_repeat long")(text)
 
 
-def with_quality(docs: DataFrame, least: int = 8, max_covered: float = 0.3, max_longest: int = 100) -> DataFrame:
+def with_quality(docs: DataFrame, least: int = 8, max_covered: float = 0.45, max_longest: int = 100) -> DataFrame:
     """Documents with a struct `_quality`: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words,
     longest_repeat, base_failed, kept.
 
