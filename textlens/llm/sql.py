@@ -91,23 +91,31 @@ FROM words LEFT JOIN kept USING (doc_id)
 WITH bytes AS (
     SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
 ), strings AS (
-    SELECT doc_id, i, substr(x, 2 * i - 1, 100) AS s FROM bytes, range(1, len(x) // 2 - 48) r(i)
+    SELECT doc_id, unnest(range(1, len(x) // 2 - 48)) AS i,
+        unnest(list_transform(range(1, len(x) // 2 - 48), lambda i: md5_number(substr(x, 2 * i - 1, 100)))) AS s
+    FROM bytes
 ), firsts AS (
     SELECT s, min(doc_id) AS m FROM strings GROUP BY s
-), gone AS (
-    SELECT DISTINCT doc_id, p
-    FROM (SELECT doc_id, i FROM strings JOIN firsts USING (s) WHERE m < doc_id), range(i, i + 50) r(p)
+), hits AS (
+    SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before
+    FROM strings JOIN firsts USING (s) WHERE m < doc_id
+), runs AS (
+    SELECT doc_id, i, count(*) FILTER (WHERE before IS NULL OR i - before > 50) OVER (PARTITION BY doc_id ORDER BY i) AS g
+    FROM hits
 ), spans AS (
-    SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE p - 1 <> coalesce(before, -1)) AS spans
-    FROM (SELECT *, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM gone) GROUP BY doc_id
-), each AS (
-    SELECT doc_id, p, substr(x, 2 * p - 1, 2) AS b FROM bytes, range(1, len(x) // 2 + 1) r(p)
+    SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY doc_id, g
+), sums AS (
+    SELECT doc_id, sum(b - a)::BIGINT AS n, count(*) AS spans FROM spans GROUP BY doc_id
+), pieces AS (
+    SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 1) AS f, a AS t FROM spans
+    UNION ALL
+    SELECT doc_id, coalesce(max(b), 1), any_value(len(x)) // 2 + 1 FROM bytes LEFT JOIN spans USING (doc_id) GROUP BY doc_id
 ), kept AS (
-    SELECT doc_id, string_agg(b, '' ORDER BY p) AS x
-    FROM each LEFT JOIN (SELECT doc_id, p, true AS lost FROM gone) USING (doc_id, p) WHERE lost IS NULL GROUP BY doc_id
+    SELECT doc_id, string_agg(substr(x, 2 * f - 1, 2 * (t - f)), '' ORDER BY f, t) AS x
+    FROM pieces JOIN bytes USING (doc_id) GROUP BY doc_id
 )
 SELECT doc_id, len(b.x) // 2 AS n_bytes, coalesce(n, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
     sha256(unhex(coalesce(k.x, ''))) AS kept_sha256
-FROM bytes b LEFT JOIN spans USING (doc_id) LEFT JOIN kept k USING (doc_id)
+FROM bytes b LEFT JOIN sums USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """,
 }
