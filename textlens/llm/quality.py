@@ -122,13 +122,14 @@ def repetition_measures(text: Column, least: int = 8) -> Column:
     return F.pandas_udf(run, "n_repeat_words long, covered_words long, longest_repeat long")(text)
 
 
-def with_quality(docs: DataFrame, least: int = 8, max_covered: float = 0.45, max_longest: int = 100) -> DataFrame:
+def with_quality(docs: DataFrame, least: int = 8, max_covered: float = 0.3, max_longest: int = 100, spared: int = 20) -> DataFrame:
     """Documents with a struct `_quality`: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words,
     longest_repeat, base_failed, kept.
 
     A text is kept if its base rules hold (at least 50 words, not over half of them in repeated 3-word windows), if
-    repeats of at least `least` words cover at most `max_covered` of its words, and if no repeat is longer than
-    `max_longest` words. Each text is judged alone and whole; copies of a text get the same verdict. A null or empty
+    repeats of at least `least` words cover at most `max_covered` of its words or at most `spared` words (a line of ten
+    words twice, which is over 30 % of a text of 50 to 66 words only), and if no repeat is longer than `max_longest`
+    words. Each text is judged alone and whole; copies of a text get the same verdict. A null or empty
     text has no words and fails. No column but `text` is read; columns of the same names stay apart in the struct.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -138,7 +139,7 @@ def with_quality(docs: DataFrame, least: int = 8, max_covered: float = 0.45, max
     measured = docs.withColumn("_repeats", repetition_measures(F.col("text"), least)).withColumn("_words_of", F.size(F.filter(F.split(text, "[ \\t\\n\\x0B\\f\\r]+"), lambda x: F.length(x) > 0)).cast("long"))
     n, r = F.col("_words_of"), F.col("_repeats")
     failed = (n < 50) | (100 * r["n_repeat_words"] > 50 * n)
-    verdict = (r["covered_words"] <= max_covered * n) & (r["longest_repeat"] <= max_longest)
+    verdict = ((r["covered_words"] <= max_covered * n) | (r["covered_words"] <= spared)) & (r["longest_repeat"] <= max_longest)
     quality = F.struct(
         n.alias("n_words"),
         F.length(F.translate(text, BLANKS, "")).cast("long").alias("word_chars"),
