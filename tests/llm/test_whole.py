@@ -1,6 +1,8 @@
 """Cases of which an earlier version did a part only."""
 
-from textlens.llm import quality
+import brute_llm as brute
+
+from textlens.llm import near_dedup, quality
 
 
 def _with_repeats(words, lines, size):
@@ -20,3 +22,23 @@ def test_long_texts_with_a_third_repeated_go(spark):
     for i, (words, lines, size) in cases.items():
         assert (got[i]["n_words"], got[i]["covered_words"], got[i]["base_failed"]) == (words, 2 * lines * size, False)
     assert [i for i in cases if got[i]["kept"]] == [4, 5, 6, 8]
+
+
+def test_links_of_low_similarity_are_found(spark):
+    rows = []
+    for percent, shared in ((50, 27), (70, 33)):
+        for k in range(40):
+            words = [f"p{percent}k{k}w{i}" for i in range(shared + 2)]
+            rows += [(1000 * percent + 2 * k + side, " ".join(words + [f"s{side}k{k}p{percent}w{i}" for i in range(40 - shared)])) for side in (0, 1)]
+    for percent in (50, 70):
+        given = [r for r in rows if r[0] // 1000 == percent]
+        got = near_dedup.near_duplicates(spark.createDataFrame(given, "doc_id long, text string"), 3, percent)
+        assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == sorted(brute.near_duplicates(given, 3, percent))
+
+
+def test_bands_follow_from_the_least_similarity():
+    assert near_dedup.banding(80, 2.1e-4) == near_dedup.banding(85, 2.1e-4) == (7, 36)
+    for percent in (1, 5, 20, 50, 60, 70, 79, 100):
+        for miss in (1e-2, 2.1e-4, 1e-9):
+            rows, bands = near_dedup.banding(percent, miss)
+            assert (1 - (percent / 100) ** rows) ** bands <= miss * (1 + 1e-9)

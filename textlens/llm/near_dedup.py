@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,8 @@ from textlens.llm.shared import KEY, flat_words, mix, ranges, slices, starts_of,
 
 #: Text bytes that a task turns into sketches at a time.
 BATCH_BYTES = 2 << 20
-#: Coordinates of a band and bands. Sets of similarity 0.85 miss all bands with probability 1e-6, of 0.8 with 2e-4.
+#: Coordinates of a band and bands, at most and at least. Sets of similarity 0.85 miss all bands with probability 1e-6,
+#: of 0.8 with 2e-4; for lower ones see `banding`.
 ROWS, BANDS = 7, 36
 #: Keys of sets to be verified are a broadcast up to this number (16 bytes each), a shuffle join beyond.
 BROADCAST_KEYS = 1_000_000
@@ -95,15 +97,30 @@ def band_hashes(sketch: np.ndarray, rows: int, bands: int) -> np.ndarray:
     return mix(out ^ np.arange(bands, dtype=np.uint64), 31)
 
 
-def _sketched(docs: DataFrame, size: int) -> DataFrame:
+def banding(percent: int, miss: float) -> tuple[int, int]:
+    """Coordinates of a band and bands: two sets of similarity `percent` share no band with probability `miss` at most.
+
+    Bands get shorter and more numerous while the sketch keeps its length; only bands of one coordinate add to it.
+    """
+    if not 0 < percent <= 100 or not 0 < miss < 1:
+        raise ValueError(f"percent {percent} is not in 1..100, or miss {miss} not between 0 and 1")
+    for rows in range(ROWS, 0, -1):
+        bands = ROWS * BANDS // rows
+        if (1 - (percent / 100) ** rows) ** bands <= miss:
+            return rows, bands
+    return 1, math.ceil(math.log(miss) / math.log1p(-percent / 100))
+
+
+def _sketched(docs: DataFrame, size: int, percent: int, miss: float) -> DataFrame:
     """Documents (key, doc_id) with n_shingles, set (16 bytes that identify the shingle set) and band hashes."""
+    rows, bands_of = banding(percent, miss)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", BATCH_BYTES):
                 values, counts = shingle_sets(part.column("text"), size)
-                bands = band_hashes(similarity_sketches(values, counts, ROWS * BANDS), ROWS, BANDS).view(np.int64)
+                bands = band_hashes(similarity_sketches(values, counts, rows * bands_of), rows, bands_of).view(np.int64)
                 owner = np.repeat(np.arange(len(counts)), counts)
                 sums = np.zeros((len(counts), 2), np.uint64)
                 for k in (0, 1):
@@ -194,7 +211,7 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: float = 2.1e-4) -> DataFrame:
     """A row for each document: doc_id, key, n_shingles, component_id, is_first.
 
     Documents whose sets of `size`-word shingles (A-Z in lower case, words between ASCII white space) have a
@@ -209,10 +226,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     share one of the first elements of those differences, early enough (see `compared`, `_may_link`). Finer bands are
     compared with pivots of their own, and then all their pairs that are left and may be linked. So a large group costs a
     comparison for each of its members, and no pair that shares a band is left out. Every link is confirmed on the
-    full sets.
+    full sets. A pair of similarity `percent` shares no band, and is then not compared, with probability `miss` at most:
+    bands follow from both, and a low `percent` makes more candidates.
     """
     keyed = with_key(docs.select("doc_id", "text"))
-    sketched = stored(_sketched(keyed, size))
+    sketched = stored(_sketched(keyed, size, percent, miss))
     ids = [F.col("doc_id").isNull(), F.col("doc_id"), *map(F.col, KEY)]
     least = F.min(F.struct(ids[0].alias("none"), *ids[1:])).alias("least")
     # The bands of a set are the same in all its documents.
