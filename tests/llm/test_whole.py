@@ -2,7 +2,7 @@
 
 import brute_llm as brute
 
-from textlens.llm import near_dedup, quality
+from textlens.llm import decontamination, near_dedup, quality
 
 
 def _with_repeats(words, lines, size):
@@ -42,3 +42,22 @@ def test_bands_follow_from_the_least_similarity():
         for miss in (1e-2, 2.1e-4, 1e-9):
             rows, bands = near_dedup.banding(percent, miss)
             assert (1 - (percent / 100) ** rows) ** bands <= miss * (1 + 1e-9)
+
+
+def test_repeated_items_do_not_fill_a_block(spark, odd, monkeypatch):
+    real, sizes = decontamination.Phrases.__init__, []
+
+    def watched(self, texts, window):
+        sizes.append(sum(len(t or "") for t in texts))
+        real(self, texts, window)
+
+    monkeypatch.setattr(decontamination.Phrases, "__init__", watched)
+    monkeypatch.setattr(decontamination, "PHRASE_BYTES", 300)
+    items = [(1, " ".join(f"Shared{i}" for i in range(10, 30)))] * 50 + [(2, "one two"), (None, "near1 near2"), (3, None)]
+    columns = ["doc_id", "n_words", "n_hit", "items", "contaminated"]
+
+    def found(rows):
+        return sorted(map(str, decontamination.contamination(odd, spark.createDataFrame(rows, "item_id long, text string")).select(columns).collect()))
+
+    assert found(items) == found(items[49:])
+    assert max(sizes) <= 300

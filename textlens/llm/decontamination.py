@@ -145,11 +145,12 @@ def search_index(index: DataFrame, items: DataFrame, window: int = 13, slop: int
     """Documents in which windows of item texts occur: key, `spans` (start, end in words, end exclusive), `items`.
 
     A window is `window` consecutive words of an item; an item with fewer words, but some, is one window. Items are
-    searched against all shards in blocks of about 16 MB of text, each a broadcast of that bounded size. `items` needs
-    item_id and text; a null id counts as an empty one, equal ids as one item, and a null text has no window.
+    searched against all shards in blocks of about 16 MB of text, each a broadcast of about that size: equal rows of
+    items count once, so that a repeated one cannot fill a block. `items` needs item_id and text; a null id counts as an
+    empty one, equal ids as one item, and a null text has no window.
     """
     spark = index.sparkSession
-    items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
+    items = stored(items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text").distinct())
     blocks = -(-max(1, items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PHRASE_BYTES)
     found = None
     for block in range(blocks):
