@@ -1,8 +1,9 @@
 """Cases of which an earlier version did a part only."""
 
 import brute_llm as brute
+from pyspark.sql import functions as F
 
-from textlens.llm import decontamination, near_dedup, quality
+from textlens.llm import decontamination, near_dedup, pii, quality
 
 
 def _with_repeats(words, lines, size):
@@ -61,3 +62,18 @@ def test_repeated_items_do_not_fill_a_block(spark, odd, monkeypatch):
 
     assert found(items) == found(items[49:])
     assert max(sizes) <= 300
+
+
+def test_long_texts_train_the_field(spark):
+    def text(i):
+        return " ".join(f"{'word ' * 40}token = \"{i * 1000 + k:032x}\" version {k}.0" for k in range(120))
+
+    docs = spark.createDataFrame([(i, text(i)) for i in range(3)], "doc_id long, text string")
+    assert docs.filter("length(text) <= 20000").count() == 0
+    cut = [r["text"] for r in docs.selectExpr("text").select(F.explode(pii._excerpts(F.col("text"))).alias("text")).collect()]
+    assert max(map(len, cut)) <= 20_000 and set(" ".join(cut).split()) <= set(" ".join(text(i) for i in range(3)).split())
+    weights = pii.train(docs)
+    assert weights.any()
+    key = f"{7:032x}"
+    sample = f"{'word ' * 5}token = \"{key}\" and more"
+    assert ("secret", key) in {(k, sample[s:e]) for k, s, e in pii.all_spans(sample, weights, 4.0)[1]}

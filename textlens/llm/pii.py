@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone", "secret")
 #: Tokens around one that holds a digit or @; tokens of a segment at most; weights of each kind.
 AROUND, LONGEST, WEIGHTS = 3, 6, 1 << 12
+#: Characters of a training text, and of a segment that the field may add (a longer one is no candidate).
+EXCERPT, SEGMENT = 20_000, 120
 HOT = re.compile("[0-9@]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -117,12 +119,12 @@ def features(span: str, tokens: int, before: str, after: str) -> tuple[int, ...]
 
 
 def candidates(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, tuple[int, ...]]]:
-    """(first token, end token, features) of all segments with a digit or @, up to the longest length."""
+    """(first token, end token, features) of all segments with a digit or @, of at most LONGEST tokens and SEGMENT characters."""
     out = []
     for i in range(len(tokens)):
         for j in range(i + 1, min(len(tokens), i + LONGEST) + 1):
             span = text[tokens[i][0] : tokens[j - 1][1]]
-            if len(span) > 120:
+            if len(span) > SEGMENT:
                 break
             if HOT.search(text, tokens[i][0], tokens[i][1]) or span[0] in "+(":
                 if HOT.search(text, tokens[j - 1][0], tokens[j - 1][1]):
@@ -212,11 +214,25 @@ def labelled_windows(text: str) -> Iterator[tuple[int, list, dict[tuple[int, int
                 yield len(tokens), candidates(version, tokens), gold
 
 
+def _excerpts(text: Column) -> Column:
+    """The texts to train on: a text itself, or a long one in excerpts of up to EXCERPT characters, without the strings
+    that their edges cut."""
+    size = F.length(text)
+    last = F.floor((size - 1) / EXCERPT)
+
+    def excerpt(i: Column) -> Column:
+        part = F.substring(text, i * EXCERPT + 1, F.lit(EXCERPT))
+        part = F.when(i > 0, F.regexp_replace(part, "^[^ \\t-\\r]+", "")).otherwise(part)
+        return F.when(i < last, F.regexp_replace(part, "[^ \\t-\\r]+$", "")).otherwise(part)
+
+    return F.when(size <= EXCERPT, F.array(text)).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), last), excerpt))
+
+
 def train(docs: DataFrame, sample: int = 400) -> np.ndarray:
-    """Fit the field on the `sample` texts with digits or @ that have the least hash: a bounded, fixed draw. Without such
-    texts, no weight is set and no span is added."""
-    size = F.length("text")
-    rows = docs.filter(F.col("text").rlike("[0-9@]") & (size <= 20_000)).select("text", F.xxhash64("text").alias("_h")).distinct().orderBy("_h", "text").limit(sample)
+    """Fit the field on the `sample` texts with digits or @ that have the least hash: a bounded, fixed draw, in which texts
+    of over EXCERPT characters take part by their excerpts. Without such texts, no weight is set and no span is added."""
+    cut = docs.filter(F.col("text").rlike("[0-9@]")).select(F.explode(_excerpts(F.col("text"))).alias("text"))
+    rows = cut.filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("_h")).distinct().orderBy("_h", "text").limit(sample)
     examples = [x for r in rows.collect() for x in labelled_windows(r["text"])]
     return fit(examples)
 
@@ -242,8 +258,8 @@ def all_spans(text: str | None, weights: np.ndarray, margin: float) -> tuple[lis
 def personal_data(docs: DataFrame, text: Column, margin: float = 4.0, sample: int = 400) -> Column:
     """A struct of `base` and `added`: arrays of (kind, start, end) in code points, end exclusive.
 
-    Base spans are those of the fixed patterns. The field scores whole candidate spans of up to 6 tokens near digits
-    or @ and chooses boundaries and kinds of a window together; a span is added if it beats no span by `margin`. It is
+    Base spans are those of the fixed patterns. The field scores whole candidate spans of up to 6 tokens and 120
+    characters (a longer key or token is never added) near digits or @ and chooses boundaries and kinds of a window together; a span is added if it beats no span by `margin`. It is
     trained on `sample` texts of `docs`. Null and empty texts have no spans; texts are read whole.
     """
     weights = docs.sparkSession.sparkContext.broadcast(train(docs, sample))
