@@ -92,6 +92,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), ids, "contaminated")
 
 
+def op11_pivotal_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textlens.llm.spelling import spelling_variants
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling_variants(docs, least_letters=6, least_count=5, factor=5, every=199)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textlens.llm.prefix_trie import prefix_trie, with_borrowed_starts
+
+    return prefix_trie(with_borrowed_starts(table(spark, sf_dir, "conversations"), block=20, most=3))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -103,4 +116,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_pivotal_grams": op11_pivotal_grams,
+    "op13_prefix_trie": op13_prefix_trie,
 }

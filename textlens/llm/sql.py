@@ -1,5 +1,22 @@
 """The queries in DuckDB SQL, where SQL can express them."""
 
+#: Table of the crc32, for `crc32` below.
+CRC = """bits AS (
+    SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i::UBIGINT, list_transform(range(8), lambda k: k::UBIGINT)),
+            lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) AS v
+        FROM range(256) r(i))
+)"""
+
+
+def crc32(text: str) -> str:
+    """The unsigned crc32 of a text's UTF-8 bytes, by the table `bits`."""
+    return f"""xor(4294967295::UBIGINT, list_reduce(
+        list_prepend(4294967295::UBIGINT, list_transform(range(octet_length(encode({text}))),
+            lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::UBIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1])))"""
+
+
 ORACLE = {
     "op3_line_dedup": """
 WITH lines AS (
@@ -117,5 +134,78 @@ WITH bytes AS (
 SELECT doc_id, len(b.x) // 2 AS n_bytes, coalesce(n, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
     sha256(unhex(coalesce(k.x, ''))) AS kept_sha256
 FROM bytes b LEFT JOIN sums USING (doc_id) LEFT JOIN kept k USING (doc_id)
+""",
+    "op11_pivotal_grams": f"""
+WITH RECURSIVE {CRC}, runs AS (
+    SELECT doc_id, run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+    WHERE length(run) >= 6 GROUP BY doc_id, run
+), hashed AS (
+    SELECT run, n, {crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM runs, bits
+), words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+        SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word
+        FROM hashed)
+    WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cuts AS (
+    SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM words, range(1, length(word) + 1) r(i)
+), near AS (
+    SELECT word AS a, cut AS b FROM cuts WHERE cut IN (SELECT word FROM words)
+    UNION SELECT cut, word FROM cuts WHERE cut IN (SELECT word FROM words)
+    UNION SELECT x.word, y.word FROM cuts x JOIN cuts y USING (cut, i) WHERE x.word <> y.word
+), best AS (
+    SELECT a, count(*) AS n_near, arg_min(b, (-n, b)) AS b, max(n) AS n FROM near JOIN words ON word = b GROUP BY a
+), formed AS (
+    SELECT word, w.n, coalesce(n_near, 0) AS n_near,
+        CASE WHEN best.n >= 5 * w.n THEN b END AS form, CASE WHEN best.n >= 5 * w.n THEN best.n END AS form_n
+    FROM words w LEFT JOIN best ON a = word
+), steps AS (
+    SELECT word, word AS root FROM formed
+    UNION ALL
+    SELECT steps.word, form FROM steps JOIN formed ON formed.word = steps.root WHERE form IS NOT NULL
+)
+SELECT f.word, f.form, s.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN steps s USING (word) JOIN formed e ON e.word = s.root WHERE e.form IS NULL
+""",
+    "op13_prefix_trie": f"""
+WITH RECURSIVE {CRC}, turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS lender, ({crc32("conv_id::VARCHAR")} % 4)::BIGINT AS h FROM (SELECT DISTINCT conv_id FROM turns), bits
+), parts AS (
+    SELECT c.conv_id, 0 AS own, pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.lender WHERE pos <= h
+    UNION ALL
+    SELECT c.conv_id, 1, pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id WHERE pos > h
+), rebuilt AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS d, sha256(length(role) || ':' || role || text) AS mark,
+        len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words
+    FROM parts
+), grown AS (
+    SELECT conv_id, 0::BIGINT AS d, '' AS path, '' AS above, 0::BIGINT AS words FROM convs
+    UNION ALL
+    SELECT g.conv_id, r.d, sha256(g.path || r.mark), g.path, r.words FROM grown g JOIN rebuilt r ON r.conv_id = g.conv_id AND r.d = g.d + 1
+), ends AS (
+    SELECT path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+    FROM (SELECT conv_id, arg_max(path, d) AS path FROM grown GROUP BY conv_id) GROUP BY path
+), nodes AS (
+    SELECT path, any_value(above) AS above, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n, (count(*) - 1) * any_value(words) AS saved
+    FROM grown GROUP BY path
+), children AS (
+    SELECT above, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY above
+), lines AS (
+    SELECT path AS top, path, above, depth FROM nodes
+    UNION ALL
+    SELECT l.above AS top, l.path, n.above, n.depth FROM lines l JOIN nodes n ON n.path = l.above WHERE l.depth > 0
+), sums AS (
+    SELECT top, count(*) FILTER (WHERE c.n IS NULL) AS leaves, sum(n.saved)::BIGINT AS saved
+    FROM lines l JOIN nodes n ON n.path = l.path LEFT JOIN children c ON c.above = l.path GROUP BY top
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(c.n, 0) AS n_children, s.leaves AS n_leaves,
+    s.saved AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes n JOIN sums s ON s.top = n.path LEFT JOIN nodes p ON p.path = n.above AND n.depth > 0
+    LEFT JOIN children c ON c.above = n.path LEFT JOIN ends e ON e.path = n.path
 """,
 }
