@@ -99,6 +99,12 @@ def op11_pivotal_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(docs, least_letters=6, least_count=5, factor=5, every=199)
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textlens.llm.jaccard_join import jaccard_join
+
+    return jaccard_join(table(spark, sf_dir, "documents"), size=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textlens.llm.prefix_trie import prefix_trie, with_borrowed_starts
 
@@ -117,5 +123,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_decontamination": op10_decontamination,
     "op11_pivotal_grams": op11_pivotal_grams,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_prefix_trie": op13_prefix_trie,
 }

@@ -167,6 +167,30 @@ WITH RECURSIVE {CRC}, runs AS (
 )
 SELECT f.word, f.form, s.root, f.n, f.n_near, f.form_n
 FROM formed f JOIN steps s USING (word) JOIN formed e ON e.word = s.root WHERE e.form IS NULL
+""",
+    "op12_jaccard_join": """
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+    FROM words, range(1, greatest(len(w) - 2, 2)) r(i) WHERE len(w) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes n ON n.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, m.n, n.n
+    HAVING 100 * count(*) >= 85 * (m.n + n.n - count(*))
+), reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION
+    SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT x, min(y) AS c FROM reach GROUP BY x) ON x = d.doc_id
 """,
     "op13_prefix_trie": f"""
 WITH RECURSIVE {CRC}, turns AS (
