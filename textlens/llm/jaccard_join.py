@@ -16,7 +16,7 @@ from textlens.llm.shared import KEY, mix, slices, starts_of, stored, with_key
 #: Text bytes that a task turns into segments at a time.
 BATCH_BYTES = 2 << 20
 #: A segment subset shared with more sets of other components than that is costly, and at most so many sets of one
- are compared with all its others in a round.
+#: costly subset are compared with all its others in a round.
 COSTLY = 32
 
 
