@@ -1,10 +1,14 @@
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import brute
 from textlens.functions.constants import ENGLISH_STOP_WORDS
+from textlens.operators import scoring
 from textlens.operators import search as s
 from textlens.operators.tfidf import TfidfSettings, fit_tfidf
+from textlens.sources import index
 from textlens.sources.reviews import queries_from_list
 
 SETTINGS = TfidfSettings(1, 1.0, 100)
@@ -44,18 +48,19 @@ def test_by_document(corpus, texts):
         s.search(corpus)
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_many_queries(spark, corpus, texts, monkeypatch, limit):
-    monkeypatch.setattr(s, "BROADCAST_ROWS", limit)
+@pytest.mark.parametrize("docs_at_once", [4096, 2])
+def test_many_queries(spark, corpus, texts, monkeypatch, docs_at_once):
+    """All queries at once and few a block, large and small document blocks: the same rows."""
+    monkeypatch.setattr(scoring, "BLOCK_DOCS", docs_at_once)
+    monkeypatch.setattr(scoring, "SCORES_AT_ONCE", 8)
     model = fit_tfidf(corpus, SETTINGS)
-    postings = model.postings(model.with_vectors(corpus))
+    vectors = model.with_vectors(corpus).repartition(2, "doc_id").persist()
     queries = queries_from_list(spark, QUERIES)
-    found = s.search_many(postings, corpus, s.query_postings(model, queries), queries, 7)
-    entries = s.query_entries(model, queries)
-    monkeypatch.setattr(s, "SCORES_AT_ONCE", 8)
-    direct = s.score_documents(model.with_vectors(corpus), entries, queries, len(model.terms), 7)
-    columns = ["query_id", "query", "rank", F.round("score", 9), "doc_id"]
-    assert sorted(direct.select(*columns).collect()) == sorted(found.select(*columns).collect())
+    columns = ["query_id", "query", "rank", "score", "doc_id"]
+    found = scoring.search_vectors(vectors, model, queries, 7)
+    once = sorted(found.select(*columns).collect())
+    for most in (3, 1):
+        assert sorted(scoring.search_vectors(vectors, model, queries, 7, most).select(*columns).collect()) == once
     for i, clean in enumerate(["dirty room noisy", *QUERIES[1:]], start=1):
         rows = found.filter(F.col("query_id") == i).orderBy("rank").collect()
         assert [(r["doc_id"], r["score"]) for r in rows] == ranking(texts, clean, 7)
@@ -64,6 +69,63 @@ def test_many_queries(spark, corpus, texts, monkeypatch, limit):
     assert top[2]["mean_top_k_score"] == pytest.approx(sum(r["score"] for r in found.filter("query_id = 2").collect()) / 7)
 
 
+@pytest.mark.parametrize("most", [None, 3])
+def test_ids_of_any_type(spark, corpus, texts, most):
+    """Strings as ids of documents and queries, a repeated query id, an empty query, more asked for than there is."""
+    named = corpus.withColumn("doc_id", F.concat(F.lit("doc "), F.col("doc_id").cast("string")))
+    model = fit_tfidf(named, SETTINGS)
+    queries = spark.createDataFrame([("a", "great staff"), ("b", ""), ("a", "noisy room"), (None, "dirty")], "query_id string, query string")
+    rows = scoring.search_vectors(model.with_vectors(named), model, queries, 20, most).collect()
+    assert len(rows) == 4 * 10
+    for query in ("great staff", "", "noisy room", "dirty"):
+        got = sorted((r["rank"], r["doc_id"], r["score"]) for r in rows if r["query"] == query)
+        assert [(d, x) for _, d, x in got] == [(f"doc {d}", x) for d, x in ranking(texts, query, 20)]
+
+
+def test_saved_blocks_give_the_same_rows(spark, corpus, tmp_path, monkeypatch):
+    monkeypatch.setattr(scoring, "BLOCK_DOCS", 3)
+    named = corpus.select(F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("doc_id"), "clean_text")
+    documents = named.select("doc_id", F.lit("").alias("hotel_name"), F.lit(1.0).alias("reviewer_score"), F.lit("").alias("text_excerpt"))
+    model = fit_tfidf(named, SETTINGS)
+    built = index.SearchIndex(model, documents, model.with_vectors(named))
+    index.save_index(built, str(tmp_path))
+    queries = spark.createDataFrame([(f"q{i}", q) for i, q in enumerate(QUERIES)], "query_id string, query string")
+    columns = ["query_id", "query", "rank", F.round("score", 12), "doc_id"]
+    want = sorted(built.search(queries, 4).select(*columns).collect())
+    for pushed in (1000, 0):
+        monkeypatch.setattr(index, "PUSHED_TERMS", pushed)
+        loaded = index.load_index(spark, str(tmp_path))
+        assert sorted(loaded.search(queries, 4).select(*columns).collect()) == want
+    assert loaded.statistics().collect() == built.statistics().collect()
+    with pytest.raises(ValueError):
+        index.save_index(loaded, str(tmp_path / "again"))
+
+
+def test_blocks_below_the_best_are_skipped():
+    """Kernel against plain sums; blocks come best first, so that later ones can be left out."""
+    rng = np.random.default_rng(1)
+    dense = np.where(rng.random((400, 30)) < 0.2, rng.random((400, 30)), 0.0) * np.linspace(1, 0.1, 400)[:, None]
+    asked = np.where(rng.random((25, 30)) < 0.2, rng.random((25, 30)), 0.0)
+    term_ids = rng.permutation(30)
+    lists = [np.flatnonzero(row) for row in dense]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(400) * 10), pa.array([x.tolist() for x in lists], pa.list_(pa.int32())), pa.array([dense[i][x].tolist() for i, x in enumerate(lists)], pa.list_(pa.float64()))],
+        names=["doc_id", "positions", "weights"],
+    )
+    owner, position = np.nonzero(asked)
+    best = scoring.Best(scoring.QueryBlock.of(owner, term_ids[position], asked[owner, position]), 5)
+    for k in range(0, 400, 20):
+        for block in scoring.document_blocks([batch.slice(k, 20)], term_ids):
+            best.add(block)
+    rows = best.rows().to_pandas()
+    assert best.skipped > 100 and rows[rows.number == scoring.FIRST].doc_id.tolist() == [0, 10, 20, 30, 40]
+    for q in np.unique(owner):
+        scores = dense @ asked[q]
+        want = [i for i in np.lexsort((np.arange(400), -scoring.rounded(scores)))[:5] if scores[i] > 0]
+        got = rows[rows.number == q].sort_values("score", ascending=False)
+        assert sorted(got.doc_id) == sorted(10 * np.array(want)) and np.allclose(got.score, np.sort(scores[want])[::-1])
+
+
 @pytest.mark.parametrize("limit", [10_000, 1])
 def test_rows_of_found_ids(corpus, monkeypatch, limit):
     from textlens.functions import rows

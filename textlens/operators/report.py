@@ -48,7 +48,7 @@ def assessed_examples(examples: DataFrame, assessments: DataFrame, top: int = 3)
 BASELINE = "baseline_bigram"
 
 
-def model_results_table(baseline: DataFrame, best: DataFrame, best_k: int, baseline_scenario: str) -> DataFrame:
+def model_results_table(baseline: DataFrame, best: DataFrame, best_k: int, baseline_scenario: str = BASELINE) -> DataFrame:
     """Both model summaries under each other, tagged with their scenario."""
     return (
         baseline.select(F.lit(baseline_scenario).alias("scenario"), "*")

@@ -1,4 +1,4 @@
-"""Similarity search by TF-IDF cosine: one query, one document, or many queries over an index."""
+"""Similarity search by TF-IDF cosine: one query or one document; results of many queries."""
 
 import numpy as np
 from pyspark import StorageLevel
@@ -7,19 +7,12 @@ from pyspark.sql import functions as F
 
 from textlens.functions.rows import only_rows_of
 from textlens.functions.text import clean_text
-from textlens.functions.vectors import vector_entries, with_dot_products
+from textlens.functions.vectors import with_dot_products
 from textlens.operators.tfidf import TfidfModel, TfidfSettings, fit_tfidf
 
 
 # A result of up to this many rows is brought to the driver to look its texts up by id.
 FETCHED_ROWS = 1000
-# Query terms of up to this many rows are broadcast to the postings; more are left to a shuffle join.
-BROADCAST_ROWS = 1_000_000
-# So many queries are scored next to the documents; more are joined by term.
-QUERIES_AT_ONCE = 10_000
-# Cells of the documents-by-queries score table a task works on at a time.
-SCORES_AT_ONCE = 100_000
-
 
 def _ranked(scored: DataFrame, top_k: int) -> DataFrame:
     """(rank, score, doc_id, text): a top-k of narrow rows, then the texts of the k winners."""
@@ -93,127 +86,6 @@ def search(
     return search_by_row(docs, doc_id, top_k, settings)
 
 
-def query_entries(model: TfidfModel, queries: DataFrame) -> DataFrame:
-    """(query_id, position, weight) of (query_id, query), by vector position."""
-    rows = queries.select("query_id", clean_text("query").alias("clean_text"))
-    return (
-        model.with_vectors(rows)
-        .select("query_id", F.explode(vector_entries("features")).alias("entry"))
-        .select("query_id", F.col("entry.position").alias("position"), F.col("entry.value").alias("weight"))
-    )
-
-
-def query_postings(model: TfidfModel, queries: DataFrame) -> DataFrame:
-    """(query_id, term_id, query_weight) of (query_id, query)."""
-    rows = queries.select(F.col("query_id").alias("doc_id"), clean_text("query").alias("clean_text"))
-    return model.postings(model.with_vectors(rows)).select(
-        F.col("doc_id").alias("query_id"), "term_id", F.col("weight").alias("query_weight")
-    )
-
-
-def score_documents(
-    vectors: DataFrame, asked: DataFrame, queries: DataFrame, size: int, top_k: int = 5, features: str = "features"
-) -> DataFrame:
-    """(query_id, query, rank, score, doc_id) from document vectors; ``asked`` (query_id, position,
-    weight) has a checked size and goes to every task.
-
-    Every task keeps the top_k of each query over its own documents (numpy over Arrow columns), so
-    top_k rows per query and task are all that is shuffled. Documents without a shared term score 0.
-    """
-    entries = asked.select("query_id", "position", "weight").collect()
-    ids = sorted(r["query_id"] for r in queries.select("query_id").collect())
-    place = {q: i for i, q in enumerate(ids)}
-    entries.sort(key=lambda r: r["position"])
-    positions = np.array([r["position"] for r in entries], dtype=np.int64)
-    shared = vectors.sparkSession.sparkContext.broadcast(
-        (
-            np.searchsorted(positions, np.arange(size + 1)),
-            np.array([place[r["query_id"]] for r in entries], dtype=np.int64),
-            np.array([r["weight"] for r in entries], dtype=float),
-            np.array(ids, dtype=np.int64),
-        )
-    )
-    rows_at_once = max(1, SCORES_AT_ONCE // max(len(ids), 1))
-
-    def best_of_partition(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        first, owner, query_weight, query_ids = shared.value
-        n = len(query_ids)
-        best = np.empty((0, n)), np.empty((0, n), dtype=np.int64)
-        for batch in (b.slice(i, rows_at_once) for b in batches for i in range(0, b.num_rows, rows_at_once)):
-            lists = batch.column("positions")
-            lengths = lists.value_lengths().fill_null(0).to_numpy()
-            at = lists.flatten().to_numpy()
-            weights = batch.column("weights").flatten().to_numpy()
-            row = np.repeat(np.arange(batch.num_rows), lengths)
-            # Each entry of a document meets the queries that ask for its term.
-            start, count = first[at], first[at + 1] - first[at]
-            steps = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            hit = np.repeat(start, count) + steps
-            cell = np.repeat(row, count) * n + owner[hit]
-            scores = np.bincount(
-                cell, weights=np.repeat(weights, count) * query_weight[hit], minlength=batch.num_rows * n
-            ).reshape(batch.num_rows, n)
-            docs = np.repeat(batch.column("doc_id").to_numpy()[:, None], n, axis=1)
-            scores, docs = np.vstack([best[0], scores]), np.vstack([best[1], docs])
-            order = np.lexsort((docs, -np.floor(scores * 1e6 + 0.5)), axis=0)[:top_k]
-            best = np.take_along_axis(scores, order, 0), np.take_along_axis(docs, order, 0)
-        kept = len(best[0])
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.tile(query_ids, kept)),
-                pa.array(best[1].ravel()),
-                pa.array(best[0].ravel()),
-            ],
-            ["query_id", "doc_id", "score"],
-        )
-
-    raw = F.unwrap_udt(features)
-    rows = vectors.select("doc_id", raw["indices"].alias("positions"), raw["values"].alias("weights"))
-    candidates = rows.mapInArrow(best_of_partition, "query_id long, doc_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 6)), "doc_id")
-    best = candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_k)
-    return best.join(queries, "query_id").select(
-        queries["query_id"], "query", "rank", "score", "doc_id"
-    )
-
-
-def search_many(postings: DataFrame, doc_ids: DataFrame, asked: DataFrame, queries: DataFrame, top_k: int = 5) -> DataFrame:
-    """(query_id, query, rank, score, doc_id): the top_k documents of every query.
-
-    Query terms meet the postings of the same term, so only documents sharing a term are scored.
-    A query with fewer hits than top_k is filled up with the lowest ids at score 0; the first top_k ids
-    of the table are enough for that.
-    """
-    asked = asked.persist(StorageLevel.MEMORY_AND_DISK)
-    if asked.count() <= BROADCAST_ROWS:
-        asked = F.broadcast(asked)
-    hits = (
-        postings.join(asked, "term_id")
-        .groupBy("query_id", "doc_id")
-        .agg(F.sum(F.col("weight") * F.col("query_weight")).alias("score"))
-    )
-    order = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 6)), "doc_id")
-    best_hits = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_k)
-    first_ids = [r["doc_id"] for r in doc_ids.select("doc_id").orderBy("doc_id").limit(top_k).collect()]
-    fill = queries.select(
-        "query_id",
-        F.explode(F.array(*map(F.lit, first_ids)).cast("array<long>")).alias("doc_id"),
-        F.lit(0.0).alias("score"),
-    )
-    best = (
-        best_hits.select("query_id", "doc_id", "score")
-        .unionByName(fill)
-        .groupBy("query_id", "doc_id")
-        .agg(F.max("score").alias("score"))
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= top_k)
-    )
-    return best.join(queries, "query_id").select("query_id", "query", "rank", "score", "doc_id")
-
-
 def with_document_columns(results: DataFrame, documents: DataFrame) -> DataFrame:
     """Add hotel_name, reviewer_score and text_excerpt of the found documents."""
     # top_k rows per query, read once to pick the documents and once to join them.
@@ -228,5 +100,5 @@ def query_summary(results: DataFrame) -> DataFrame:
     return (
         results.groupBy("query_id", "query")
         .agg(F.max("score").alias("top_score"), F.avg("score").alias("mean_top_k_score"))
-        .orderBy(F.desc("top_score"), F.desc("mean_top_k_score"), "query_id")
+        .orderBy(F.desc(F.round("top_score", 6)), F.desc(F.round("mean_top_k_score", 6)), "query_id")
     )

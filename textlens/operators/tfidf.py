@@ -135,6 +135,11 @@ class TfidfModel:
         place = {t: i for i, t in enumerate(self.terms)}
         self._term_ids = np.array([place[t] for t in self._indexer.vocabulary], dtype=int)
 
+    @property
+    def term_ids(self) -> np.ndarray:
+        """Term id of each vector position, once vectors were made."""
+        return self._term_ids
+
     @property
     def position_terms(self) -> list[str]:
         """Terms by vector position."""
