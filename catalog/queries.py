@@ -45,6 +45,7 @@ from textlens.operators.preparation import (
     three_class_labels,
 )
 from textlens.operators.sampling import exact_sample, stratified_split
+from textlens.operators.scoring import search_vectors
 from textlens.operators.search import query_summary, search_by_query, search_by_row, with_document_columns
 from textlens.operators.selection import chi2_scores, class_weight_sums, select_k_best
 from textlens.operators.silhouette import mean_silhouette, silhouette_values
@@ -572,6 +573,16 @@ def search_many_queries(spark, sf_dir):
     return with_document_columns(found, index.documents).select(*columns)
 
 
+@query
+def search_named_queries(spark, sf_dir):
+    """Strings as ids of documents and queries."""
+    docs = cleaned(spark, sf_dir).withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    queries = t.benchmark_queries(spark, sf_dir).withColumn("query_id", F.concat(F.lit("q"), F.col("query_id").cast("string")))
+    model = fit_tfidf(docs, t.SEARCH)
+    found = search_vectors(model.with_vectors(docs), model, queries, 5)
+    return found.select("query_id", "query", "rank", r6("score"), "doc_id")
+
+
 @query
 def search_default_queries(spark, sf_dir):
     """Words that hardly occur here: most places are filled with score 0."""

@@ -618,6 +618,14 @@ QUALIFY rank <= 10""",
   coalesce(d.Hotel_Name, '') AS hotel_name, d.score AS reviewer_score,
   {excerpt('d.review_text')} AS text_excerpt FROM found f JOIN docs d USING (doc_id)""",
     ),
+    "search_named_queries": with_ctes(
+        [
+            *SEARCH,
+            *asked_ctes(FROM_BENCHMARK),
+            found_cte(5).replace("q.query_id, q.query, d.doc_id,", "'q' || q.query_id AS query_id, q.query, 'd' || d.doc_id AS doc_id,", 1),
+        ],
+        "SELECT query_id, query, rank, round(score, 6) AS score, doc_id FROM found",
+    ),
     "search_default_queries": with_ctes(
         [*SEARCH, *asked_ctes(FROM_DEFAULTS), found_cte(5)],
         "SELECT query_id, query, rank, round(score, 6) AS score, doc_id FROM found",

@@ -50,18 +50,18 @@ def brute_steps(rows):
     return steps
 
 
-@pytest.mark.parametrize("per_range", [100_000, 3])
+@pytest.mark.parametrize("ranges", [None, 1, 7, 1000])
 @pytest.mark.parametrize("levels", [4, 40, 1])
-def test_curves(spark, monkeypatch, levels, per_range):
-    monkeypatch.setattr(curves, "SCORES_PER_RANGE", per_range)
+def test_curves(spark, levels, ranges):
+    """Signed scores too, as those of a linear SVM."""
     draw = random.Random(levels)
-    rows = [(draw.random() < 0.3, draw.randrange(levels) / 8) for _ in range(200)]
+    rows = [(draw.random() < 0.3, draw.randrange(levels) / 8 - 2) for _ in range(200)]
     frame = spark.createDataFrame(
         [("negative" if y else "positive", s) for y, s in rows], "label string, target_score double"
     )
     steps = brute_steps(rows)
     pos, neg = steps[-1][3], steps[-1][4]
-    result = curves.curve(frame)
+    result = curves.curve(frame, ranges=ranges)
     pr = [tuple(r) for r in result.precision_recall().orderBy("point").collect()]
     want = [(tp / pos, tp / (tp + fp), s) for s, _, _, tp, fp in reversed(steps)] + [(0.0, 1.0, None)]
     assert pr == [(i, *p) for i, p in enumerate(want)]
@@ -80,6 +80,17 @@ def test_curves(spark, monkeypatch, levels, per_range):
     assert row["prevalence"] == pytest.approx(pos / len(rows))
 
 
+def test_curves_over_many_arrow_batches(spark):
+    """Runs of one range that span batches join without gaps."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        rows = spark.range(500).selectExpr("IF(id % 3 = 0, 'negative', 'positive') AS label", "-(id * 7919 % 250) / 10.0 AS target_score")
+        found = [sorted(map(str, getattr(curves.curve(rows, ranges=n), kind)().collect())) for n in (1, 4) for kind in ("precision_recall", "roc")]
+        assert found[:2] == found[2:] and len(found[0]) == 251
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 @pytest.mark.parametrize("only", ["negative", "positive"])
 def test_curves_without_a_class(spark, only):
     rows = spark.createDataFrame([(only, 0.2), (only, 0.9)], "label string, target_score double")

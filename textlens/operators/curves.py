@@ -1,17 +1,20 @@
 """Precision-recall and ROC curves, average precision and area under the ROC curve.
 
-Rows are first counted per distinct score. Running totals are then taken within score ranges of about
-equal size and shifted by the totals of the ranges above, so no task ever sees the whole curve.
+Rows are first counted per distinct score, and the distinct scores are dealt to partitions by ranges. Every task adds up
+its own range; the few totals of ranges, summed over the ranges above, shift what it found. So no task sees the whole
+curve, no bounds are collected, and distinct scores move once.
 """
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# About this many distinct scores go into one range.
-SCORES_PER_RANGE = 100_000
+STEPS = "range int, score double, hits long, misses long, tp long, fp long, step long, next_hits long, next_misses long"
 
 
 @dataclass
@@ -77,18 +80,45 @@ class Curve:
         )
 
 
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (score, hits, misses) of one range by falling score, with counts so far and the next row's hits and misses
+    (null in the last row)."""
+    number = TaskContext.get().partitionId()
+    tp = fp = step = 0
+    held: list[np.ndarray] | None = None
+
+    def rows(columns: list[np.ndarray], after: tuple[int, int] | None) -> pa.RecordBatch:
+        score, hits, misses = columns
+        ahead = [pa.array([*x[1:].tolist(), None if after is None else after[k]], pa.int64()) for k, x in enumerate((hits, misses))]
+        counts = (tp + np.cumsum(hits), fp + np.cumsum(misses), step + 1 + np.arange(len(score)))
+        fixed = [pa.array(np.full(len(score), number, np.int32)), pa.array(score), pa.array(hits), pa.array(misses)]
+        return pa.RecordBatch.from_arrays([*fixed, *map(pa.array, counts), *ahead], names=[x.split()[0] for x in STEPS.split(", ")])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("score", "hits", "misses")]
+        if held is not None:
+            yield rows(held, (int(columns[1][0]), int(columns[2][0])))
+            tp, fp, step = tp + int(held[1].sum()), fp + int(held[2].sum()), step + len(held[0])
+        held = columns
+    if held is not None:
+        yield rows(held, None)
+
+
 def _range_totals(steps: DataFrame) -> DataFrame:
     """Per score range: its totals summed over the ranges above, and the first step of the next one."""
     ranges = steps.groupBy("range").agg(
         F.sum("hits").alias("range_hits"),
         F.sum("misses").alias("range_misses"),
         F.count(F.lit(1)).alias("range_steps"),
-        F.max_by(F.struct("hits", "misses"), "score").alias("top"),
+        F.min_by(F.struct("hits", "misses"), "step").alias("top"),
     )
-    above = Window.partitionBy().orderBy(F.desc("range"))
+    # Ranges are numbered by falling score.
+    above = Window.partitionBy().orderBy("range")
     before = above.rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
-    # One row per range (a few thousand at most), so one task is enough here.
+    # One row per range, that is per partition, so one task is enough here.
     return ranges.select(
         "range",
         F.coalesce(F.sum("range_hits").over(before), F.lit(0)).alias("hits_above"),
@@ -102,50 +132,48 @@ def _range_totals(steps: DataFrame) -> DataFrame:
 
 
 def _numbered(steps: DataFrame, out: str) -> DataFrame:
-    """Number rows by falling score from 1, range by range."""
+    """Number rows by falling score from 1. The rows lie in their ranges already: each task counts its own."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, found = None, 0
+        for batch in batches:
+            ranges = batch.column("range").to_numpy()
+            for low, high in zip(cuts := [0, *np.flatnonzero(np.diff(ranges)) + 1], [*cuts[1:], len(ranges)], strict=True):
+                if high > low:
+                    if ranges[low] != current:
+                        current, found = ranges[low], 0
+                    yield batch.slice(low, high - low).append_column(out, pa.array(found + 1 + np.arange(high - low)))
+                    found += high - low
+
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in steps.schema)
     sizes = steps.groupBy("range").agg(F.count(F.lit(1)).alias("__size"))
-    before = Window.partitionBy().orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy().orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("range", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
-    within = Window.partitionBy("range").orderBy(F.desc("score"))
-    return (
-        steps.join(F.broadcast(sizes), "range")
-        .withColumn(out, F.row_number().over(within) + F.col("__before"))
-        .drop("__before")
-    )
+    counted = steps.mapInArrow(count, f"{columns}, `{out}` long")
+    return counted.join(F.broadcast(sizes), "range").withColumn(out, F.col(out) + F.col("__before")).drop("__before")
 
 
-def curve(scored: DataFrame, target: str = "negative", label: str = "label", score: str = "target_score") -> Curve:
-    """Running counts of target and other rows by falling score."""
+def curve(
+    scored: DataFrame, target: str = "negative", label: str = "label", score: str = "target_score", ranges: int | None = None
+) -> Curve:
+    """Running counts of target and other rows by falling score, in `ranges` ranges (Spark's choice by size if None)."""
     is_target = F.col(label) == target
-    per_score = scored.groupBy(F.col(score).alias("score")).agg(
+    per_score = scored.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(is_target).alias("hits"), F.count_if(~is_target).alias("misses")
     )
-    # Read for the ranges, their totals and the running counts.
-    per_score = per_score.persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = per_score.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
-    n_ranges = -(-sizes // SCORES_PER_RANGE)
-    bounds: list[float] = []
-    if n_ranges > 1:
-        shares = [i / n_ranges for i in range(1, n_ranges)]
-        bounds = sorted(set(per_score.approxQuantile("score", shares, 0.1 / n_ranges)))
-    if bounds:
-        limits = F.array(*[F.lit(b) for b in bounds])
-        part = F.size(F.filter(limits, lambda b: b <= F.col("score")))
-    else:
-        part = F.lit(0)
-    steps = per_score.withColumn("range", part)
-    falling = Window.partitionBy("range").orderBy(F.desc("score"))
-    running = falling.rowsBetween(Window.unboundedPreceding, 0)
-    totals = F.broadcast(_range_totals(steps))
+    falling = F.desc("score")
+    dealt = per_score.repartitionByRange(falling) if ranges is None else per_score.repartitionByRange(ranges, falling)
+    # Kept, as the totals and the curve have to see the same ranges, in the same order.
+    steps = dealt.sortWithinPartitions(falling).mapInArrow(_running, STEPS).persist(StorageLevel.MEMORY_AND_DISK)
     result = (
-        steps.join(totals, "range")
+        steps.join(F.broadcast(_range_totals(steps)), "range")
         .withColumns(
             {
-                "tp": F.sum("hits").over(running) + F.col("hits_above"),
-                "fp": F.sum("misses").over(running) + F.col("misses_above"),
-                "step": F.row_number().over(falling) + F.col("steps_above"),
-                "next_hits": F.coalesce(F.lead("hits").over(falling), F.col("next_top.hits")),
-                "next_misses": F.coalesce(F.lead("misses").over(falling), F.col("next_top.misses")),
+                "tp": F.col("tp") + F.col("hits_above"),
+                "fp": F.col("fp") + F.col("misses_above"),
+                "step": F.col("step") + F.col("steps_above"),
+                "next_hits": F.coalesce("next_hits", "next_top.hits"),
+                "next_misses": F.coalesce("next_misses", "next_top.misses"),
             }
         )
         .drop("hits_above", "misses_above", "steps_above", "next_top")
