@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textlens.operators import linear_fit
-from textlens.operators.classify import MODELS, LinearClassifier, TrainingData, top_terms
+from textlens.operators.classify import LinearClassifier, TrainingData, fit_model, fit_models_together, gradient_norms, top_terms
 from textlens.operators.selection import (
     best_positions,
     chi2_from_matrix,
@@ -80,7 +80,7 @@ def test_sliced_vectors(binary):
 def test_naive_bayes(request, name):
     training, _ = request.getfixturevalue(name)
     x, y = dense(training)
-    fit = MODELS["naive_bayes"](training)
+    fit = fit_model(training, "naive_bayes")
     sums = np.array([x[y == c].sum(axis=0) for c in training.classes]) + 1
     likelihood = np.log(sums / sums.sum(axis=1, keepdims=True))
     prior = np.log([(y == c).mean() for c in training.classes])
@@ -119,7 +119,7 @@ def gradient(training, fit, kind):
 @pytest.mark.parametrize("kind", ["logistic_regression", "linear_svm"])
 def test_iterative_fits_reach_the_optimum(request, name, kind):
     training, _ = request.getfixturevalue(name)
-    fit = MODELS[kind](training)
+    fit = fit_model(training, kind)
     slope, value, at_zero = gradient(training, fit, kind)
     assert slope < 5e-3 and value < at_zero
     x, _ = dense(training)
@@ -138,12 +138,57 @@ def test_iterative_fits_reach_the_optimum(request, name, kind):
 
 def test_tree_sums_equal_direct_sums(binary, monkeypatch):
     training, _ = binary
-    direct = MODELS["linear_svm"](training)
+    direct = fit_model(training, "linear_svm")
     monkeypatch.setattr(linear_fit, "DIRECT_PARTS", 0)
-    tree = MODELS["linear_svm"](training)
+    tree = fit_model(training, "linear_svm")
     assert np.allclose(direct.coefficients, tree.coefficients, atol=1e-3)
 
 
+@pytest.mark.parametrize("name", ["binary", "three"])
+def test_fits_side_by_side_equal_fits_alone(request, monkeypatch, name):
+    """Masks on the same vectors against sliced vectors; blocks of few entries; passes are shared."""
+    training, _ = request.getfixturevalue(name)
+    kept = [0, 2, 3, 5, 8]
+    monkeypatch.setattr(linear_fit, "BLOCK_ENTRIES", 5)
+    passes = []
+    real = linear_fit.summed
+    monkeypatch.setattr(linear_fit, "summed", lambda blocks, asked, *a: passes.append(len(asked)) or real(blocks, asked, *a))
+    wanted = [(m, k) for m in ("linear_svm", "naive_bayes", "logistic_regression") for k in (None, kept)]
+    together = fit_models_together(training, wanted)
+    shared = list(passes)
+    sliced = TrainingData(slice_vectors(training.vectors, kept, "features", "few"), training.class_counts, [training.terms[i] for i in kept], features="few")
+    for (model, k), fit in zip(wanted, together, strict=True):
+        alone = fit_model(training if k is None else sliced, model)
+        places = range(len(training.terms)) if k is None else k
+        assert np.allclose(fit.coefficients[:, places], alone.coefficients, atol=2e-3)
+        assert np.allclose(fit.intercepts, alone.intercepts, atol=2e-3)
+        assert np.count_nonzero(np.delete(fit.coefficients, list(places), axis=1)) == 0
+        assert [t for t, _ in fit.kept_weights(fit.coefficients[0])] == alone.terms
+    assert max(shared) == 4 and len(shared) < sum(passes[len(shared):])
+    with pytest.raises(ValueError, match="no model"):
+        fit_model(training, "tree")
+
+
+@pytest.mark.parametrize("kind", ["logistic_regression", "linear_svm"])
+def test_gradient_vanishes_at_fits_only(binary, kind):
+    training, _ = binary
+    fit = fit_model(training, kind)
+    row = gradient_norms(training, fit).head()
+    slope, *_ = gradient(training, fit, kind)
+    assert row["norm"] == pytest.approx(slope, abs=1e-4) and row["norm"] <= 1.01e-4 * row["norm_at_zero"]
+    fit.coefficients[0, 0] += 0.1
+    assert gradient_norms(training, fit).head()["norm"] > 0.05
+    with pytest.raises(ValueError):
+        gradient_norms(training, fit_model(training, "naive_bayes"))
+
+
+def test_rows_without_terms_and_empty_parts(spark, binary):
+    """Texts without known terms count with their intercept; partitions without rows bring nothing."""
+    training, _ = binary
+    spread = TrainingData(training.vectors.repartition(40), training.class_counts, training.terms)
+    assert np.allclose(fit_model(spread, "linear_svm").coefficients, fit_model(training, "linear_svm").coefficients, atol=1e-3)
+
+
 def test_top_terms(spark):
     def model(classes, coefficients):
         return LinearClassifier(

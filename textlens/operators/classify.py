@@ -6,8 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textlens.functions.vectors import with_dot_products
-from textlens.operators.linear_fit import fit_linear, logistic, squared_hinge
+from textlens.functions.vectors import vector_entries, with_dot_products
+from textlens.operators.linear_fit import Problem, fit_linear, logistic, squared_hinge
 from textlens.operators.selection import class_weight_matrix
 
 
@@ -51,6 +51,8 @@ class LinearClassifier:
     has_probability: bool
     has_term_weights: bool
     features: str = "features"
+    # Positions of selected terms; the others have coefficient 0. None: all.
+    kept: list[int] | None = None
 
     def _scored(self, df: DataFrame) -> DataFrame:
         scored = with_dot_products(df, self.features, self.coefficients, "__scores")
@@ -91,56 +93,105 @@ class LinearClassifier:
         rows = [
             (name, term, float(weight))
             for name, row in zip(names, self.coefficients)
-            for term, weight in zip(self.terms, row)
+            for term, weight in self.kept_weights(row)
         ]
         return spark.createDataFrame(rows, schema)
 
+    def kept_weights(self, row: np.ndarray) -> list[tuple[str, float]]:
+        places = range(len(self.terms)) if self.kept is None else self.kept
+        return [(self.terms[i], row[i]) for i in places]
 
-def fit_naive_bayes(data: TrainingData, alpha: float = 1.0) -> LinearClassifier:
-    """Multinomial naive Bayes with smoothed terms and unsmoothed priors."""
-    smoothed = data.class_sums() + alpha
+
+def fit_naive_bayes(data: TrainingData, alpha: float = 1.0, kept: list[int] | None = None) -> LinearClassifier:
+    """Multinomial naive Bayes with smoothed terms and unsmoothed priors, over the kept positions."""
+    places = np.arange(len(data.terms)) if kept is None else np.asarray(kept, dtype=int)
+    smoothed = data.class_sums()[:, places] + alpha
     counts = np.array([data.class_counts[c] for c in data.classes], dtype=float)
+    coefficients = np.zeros((len(data.classes), len(data.terms)))
+    coefficients[:, places] = np.log(smoothed) - np.log(smoothed.sum(axis=1, keepdims=True))
     return LinearClassifier(
         "naive_bayes",
         data.classes,
         data.terms,
-        np.log(smoothed) - np.log(smoothed.sum(axis=1, keepdims=True)),
+        coefficients,
         np.log(counts / counts.sum()),
         has_probability=True,
         has_term_weights=False,
         features=data.features,
+        kept=kept,
     )
 
 
-def fit_logistic_regression(data: TrainingData, cost: float = 1.0, max_iterations: int = 2000) -> LinearClassifier:
-    """L2 logistic regression with a free intercept; multinomial for three or more classes."""
-    coefficients, intercepts = fit_linear(
-        data.vectors, data.classes, len(data.terms), logistic(), data.features, data.label, cost,
-        penalise_intercept=False, max_iterations=max_iterations,
-    )
-    return LinearClassifier(
-        "logistic_regression", data.classes, data.terms, coefficients, intercepts,
-        has_probability=True, has_term_weights=True, features=data.features,
-    )
+# Losses of the models that are fitted in steps, and whether their intercept is penalised and gives no probability.
+FITTED = {"logistic_regression": (logistic, False, 2000), "linear_svm": (squared_hinge, True, 1000)}
+MODELS = ("naive_bayes", *FITTED)
+
 
+def fit_models_together(data: TrainingData, wanted: list[tuple[str, list[int] | None]], cost: float = 1.0) -> list[LinearClassifier]:
+    """A classifier for each (model, kept positions or None for all). Models that are fitted in steps share every pass
+    over the training rows.
 
-def fit_linear_svm(data: TrainingData, cost: float = 1.0, max_iterations: int = 1000) -> LinearClassifier:
-    """Squared-hinge SVM with a penalised intercept; one against the rest for three or more classes."""
-    coefficients, intercepts = fit_linear(
-        data.vectors, data.classes, len(data.terms), squared_hinge(), data.features, data.label, cost,
-        penalise_intercept=True, max_iterations=max_iterations,
+    Logistic regression: L2, free intercept, multinomial for three or more classes. Linear SVM: squared hinge, penalised
+    intercept, one against the rest for three or more classes.
+    """
+    for name, _ in wanted:
+        if name not in MODELS:
+            raise ValueError(f"There is no model {name}; models are {', '.join(MODELS)}.")
+    stepwise = [(i, *FITTED[name], kept) for i, (name, kept) in enumerate(wanted) if name in FITTED]
+    problems = [
+        Problem(loss, cost, penalised, None if kept is None else np.asarray(kept, dtype=int), max_iterations=most)
+        for _, loss, penalised, most, kept in stepwise
+    ]
+    found = fit_linear(data.vectors, data.classes, len(data.terms), problems, data.features, data.label) if problems else []
+    fitted = {i: x for (i, *_), x in zip(stepwise, found, strict=True)}
+    out = []
+    for i, (name, kept) in enumerate(wanted):
+        if name == "naive_bayes":
+            out.append(fit_naive_bayes(data, kept=kept))
+        else:
+            out.append(
+                LinearClassifier(
+                    name, data.classes, data.terms, *fitted[i], has_probability=name == "logistic_regression",
+                    has_term_weights=True, features=data.features, kept=kept,
+                )
+            )
+    return out
+
+
+def fit_model(data: TrainingData, name: str, kept: list[int] | None = None, cost: float = 1.0) -> LinearClassifier:
+    return fit_models_together(data, [(name, kept)], cost)[0]
+
+
+def gradient_norms(data: TrainingData, model: LinearClassifier, cost: float = 1.0) -> DataFrame:
+    """(model, norm, norm_at_zero): length of the gradient of a two-class model's objective at its weights and at zero
+    weights. Worked out with column expressions, apart from the fit, as a certificate of it: a convex objective is least
+    where its gradient vanishes."""
+    if len(data.classes) != 2 or model.name not in FITTED:
+        raise ValueError("The gradient is that of a two-class model fitted in steps.")
+    side = F.when(F.col(data.label) == data.classes[1], 1.0).otherwise(-1.0)
+    weights = [(i, float(model.coefficients[0, i])) for i in (model.kept or range(len(model.terms)))]
+    weights.append((-1, float(model.intercepts[0]) if FITTED[model.name][1] else 0.0))
+    spark = data.vectors.sparkSession
+    own = spark.createDataFrame(weights, "position int, weight double")
+
+    def slope(margin: Column) -> Column:
+        if model.name == "linear_svm":
+            return -2.0 * side * F.greatest(F.lit(0.0), 1.0 - side * margin)
+        return 1.0 / (1.0 + F.exp(-margin)) - F.when(side > 0, 1.0).otherwise(0.0)
+
+    scored = model._scored(data.vectors).withColumns({"__at": slope(F.col("__scores")[0]), "__zero": slope(F.lit(0.0))})
+    entries = F.concat(
+        F.transform(vector_entries(data.features), lambda e: F.struct(e["position"].cast("int").alias("position"), e["value"].alias("value"))),
+        F.array(F.struct(F.lit(-1).alias("position"), F.lit(1.0).alias("value"))),
     )
-    return LinearClassifier(
-        "linear_svm", data.classes, data.terms, coefficients, intercepts,
-        has_probability=False, has_term_weights=True, features=data.features,
+    rows = scored.select("__at", "__zero", F.explode(entries).alias("e"))
+    sums = rows.groupBy(F.col("e.position").alias("position")).agg(F.sum(F.col("__at") * F.col("e.value")).alias("at"), F.sum(F.col("__zero") * F.col("e.value")).alias("zero"))
+    parts = own.join(sums, "position", "left").select(
+        (cost * F.coalesce("at", F.lit(0.0)) + F.col("weight")).alias("at"), (cost * F.coalesce("zero", F.lit(0.0))).alias("zero")
+    )
+    return parts.agg(F.sqrt(F.sum(F.col("at") * F.col("at"))).alias("norm"), F.sqrt(F.sum(F.col("zero") * F.col("zero"))).alias("norm_at_zero")).select(
+        F.lit(model.name).alias("model"), "norm", "norm_at_zero"
     )
-
-
-MODELS = {
-    "naive_bayes": fit_naive_bayes,
-    "logistic_regression": fit_logistic_regression,
-    "linear_svm": fit_linear_svm,
-}
 
 
 def top_terms(weights: DataFrame, n_classes: int, top_n: int = 20) -> DataFrame:

@@ -1,118 +1,156 @@
 """Regularised linear models on document vectors, fitted by L-BFGS.
 
-Every step sums loss and gradient over all rows: each partition returns one small array (numpy over Arrow
-columns) and Spark adds these up. The driver only holds arrays of model size. MLlib has no squared hinge
-loss, and its logistic regression standardises the columns internally, which for rare terms takes many
-times more passes over the data than the plain TF-IDF weights need.
+Training rows are packed once into blocks of compressed sparse rows, a few binary cells each, and kept; a step reads
+these and converts nothing. Every step sums loss and gradient over all rows for all models that still move, whatever
+their loss and selected terms: each partition returns one small array and Spark adds these up. The driver only holds
+arrays of model size. MLlib has no squared hinge loss, and its logistic regression standardises the columns internally,
+which for rare terms takes many times more passes over the data than the plain TF-IDF weights need.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Generator, Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many partitions the driver adds the partial sums up itself; more are added as a tree.
+# Up to this many partitions the driver adds the partial sums up itself; of more, groups are added up first.
 DIRECT_PARTS = 64
-
-
-# The losses are made by functions so that tasks receive them by value and need no copy of this package.
-
-
-def squared_hinge() -> Callable:
-    def loss(margins: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
-        """Loss and its slope per margin; one independent two-sided problem per column."""
-        import numpy as np
-
-        columns = margins.shape[1]
-        wanted = np.array([1]) if columns == 1 else np.arange(columns)
-        side = np.where(target[:, None] == wanted, 1.0, -1.0)
-        slack = np.maximum(0.0, 1.0 - side * margins)
-        return float((slack**2).sum()), -2.0 * side * slack
-
-    return loss
-
-
-def logistic() -> Callable:
-    def loss(margins: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
-        """Log loss and its slope: sigmoid for one column (class 1 against class 0), else softmax."""
-        import numpy as np
-
-        columns = margins.shape[1]
-        scores = np.column_stack([np.zeros(len(margins)), margins]) if columns == 1 else margins
-        shifted = scores - scores.max(axis=1, keepdims=True)
-        chance = np.exp(shifted)
-        total = chance.sum(axis=1)
-        rows = np.arange(len(target))
-        value = float((np.log(total) - shifted[rows, target]).sum())
-        chance /= total[:, None]
-        chance[rows, target] -= 1.0
-        return value, chance[:, -columns:]
-
-    return loss
-
-
-def _objective(
-    rows: DataFrame, size: int, columns: int, loss: Callable, cost: float, penalise_intercept: bool
-) -> Callable[[np.ndarray], tuple[float, np.ndarray]]:
-    """cost * summed loss + half the squared weights, with gradient. Weights: columns x (size + 1)."""
-    context = rows.sparkSession.sparkContext
-    n_parts = rows.rdd.getNumPartitions()
-
-    def evaluate(flat: np.ndarray) -> tuple[float, np.ndarray]:
-        shared = context.broadcast(flat)
-
-        def partition_sums(batches):
-            import numpy as np
-            import pyarrow as pa
-
-            w = shared.value.reshape(columns, size + 1)
-            gradient = np.zeros((columns, size + 1))
-            value = 0.0
-            for batch in batches:
-                target = batch.column("target").to_numpy()
-                positions = batch.column("positions")
-                lengths = positions.value_lengths().fill_null(0).to_numpy()
-                at = positions.flatten().to_numpy()
-                values = batch.column("weights").flatten().to_numpy()
-                row = np.repeat(np.arange(len(target)), lengths)
-                margins = np.column_stack(
-                    [
-                        np.bincount(row, weights=values * c[at], minlength=len(target)) + c[size]
-                        for c in w
-                    ]
-                )
-                part, slope = loss(margins, target)
-                value += part
-                for c in range(columns):
-                    gradient[c, :size] += np.bincount(
-                        at, weights=values * slope[row, c], minlength=size
-                    )
-                gradient[:, size] += slope.sum(axis=0)
-            sums = np.append(gradient.ravel(), value).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([sums], pa.binary())], ["sums"])
-
-        parts = rows.mapInArrow(partition_sums, "sums binary")
-        if n_parts <= DIRECT_PARTS:
-            total = sum(np.frombuffer(r["sums"]) for r in parts.collect())
-        else:
-            total = parts.rdd.map(lambda r: np.frombuffer(r[0])).treeReduce(lambda a, b: a + b)
-        shared.unpersist()
-        penalised = flat.reshape(columns, size + 1).copy()
-        if not penalise_intercept:
-            penalised[:, size] = 0.0
-        penalised = penalised.ravel()
-        return cost * total[-1] + 0.5 * penalised @ penalised, cost * total[:-1] + penalised
-
-    return evaluate
-
-
-def minimise(
-    evaluate: Callable, start: np.ndarray, tolerance: float, max_iterations: int, memory: int = 10
-) -> np.ndarray:
-    """L-BFGS with step halving."""
+# Entries (position, weight) of a block, about: 16 bytes each.
+BLOCK_ENTRIES = 1 << 20
+BLOCK = "targets binary, ends binary, positions binary, weights binary"
+
+
+def squared_hinge(margins: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
+    """Loss and its slope per margin; one independent two-sided problem per column."""
+    columns = margins.shape[1]
+    wanted = np.array([1]) if columns == 1 else np.arange(columns)
+    side = np.where(target[:, None] == wanted, 1.0, -1.0)
+    slack = np.maximum(0.0, 1.0 - side * margins)
+    return float((slack**2).sum()), -2.0 * side * slack
+
+
+def logistic(margins: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
+    """Log loss and its slope: sigmoid for one column (class 1 against class 0), else softmax."""
+    columns = margins.shape[1]
+    scores = np.column_stack([np.zeros(len(margins)), margins]) if columns == 1 else margins
+    shifted = scores - scores.max(axis=1, keepdims=True)
+    chance = np.exp(shifted)
+    total = chance.sum(axis=1)
+    rows = np.arange(len(target))
+    value = float((np.log(total) - shifted[rows, target]).sum())
+    chance /= total[:, None]
+    chance[rows, target] -= 1.0
+    return value, chance[:, -columns:]
+
+
+@dataclass(frozen=True)
+class Problem:
+    """cost * summed loss + half the squared weights. With `kept`, only these positions have weights."""
+
+    loss: Callable
+    cost: float = 1.0
+    penalise_intercept: bool = False
+    kept: np.ndarray | None = None
+    tolerance: float = 1e-4
+    max_iterations: int = 2000
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """Blocks of rows (target, positions, weights): targets, where each row's entries end, positions, weights."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def block(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+            columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+            columns[1] = np.cumsum(columns[1])
+            return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in columns], names=["targets", "ends", "positions", "weights"])
+
+        parts, entries = [], 0
+        for batch in batches:
+            lists = batch.column("positions")
+            counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            at = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            target = batch.column("target").to_numpy(zero_copy_only=False).astype(np.int64)
+            parts.append([target, counts, at, batch.column("weights").flatten().to_numpy(zero_copy_only=False)])
+            entries += len(at)
+            if entries >= BLOCK_ENTRIES:
+                yield block(parts)
+                parts, entries = [], 0
+        if parts:
+            yield block(parts)
+
+    return rows.mapInArrow(run, BLOCK)
+
+
+def block_sums(columns: list[np.ndarray], asked: list[tuple[Callable, np.ndarray, np.ndarray | None]], size: int) -> list[np.ndarray]:
+    """Gradient (columns x (positions + 1), flat) and value of each asked (loss, weights, kept) over one block."""
+    target, ends, at, values = columns
+    starts = np.concatenate([[0], ends[:-1]])
+    counts = ends - starts
+    full = np.flatnonzero(counts)
+    out = []
+    for loss, weights, kept in asked:
+        margins = np.tile(weights[:, -1], (len(target), 1))
+        for c, w in enumerate(weights):
+            whole = w[:-1]
+            if kept is not None:
+                whole = np.zeros(size)
+                whole[kept] = w[:-1]
+            if len(full):
+                margins[full, c] += np.add.reduceat(values * whole[at], starts[full])
+        value, slope = loss(margins, target)
+        gradient = np.empty(weights.shape)
+        for c in range(len(weights)):
+            sums = np.bincount(at, weights=values * np.repeat(slope[:, c], counts), minlength=size)
+            gradient[c, :-1] = sums if kept is None else sums[kept]
+        gradient[:, -1] = slope.sum(axis=0)
+        out.append(np.append(gradient.ravel(), value))
+    return out
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in batches:
+        for x in batch.column("sums"):
+            part = np.frombuffer(x.as_buffer())
+            total = part.copy() if total is None else total + part
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+
+def summed(blocks: DataFrame, asked: list[tuple[Callable, np.ndarray, np.ndarray | None]], size: int, parts: int) -> list[np.ndarray]:
+    """`block_sums` over all blocks, in one pass."""
+    shared = blocks.sparkSession.sparkContext.broadcast(asked)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for k in range(batch.num_rows):
+                columns = [np.frombuffer(batch.column(c)[k].as_buffer(), float if c == "weights" else np.int64) for c in ("targets", "ends", "positions", "weights")]
+                part = np.concatenate(block_sums(columns, shared.value, size))
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    found = blocks.mapInArrow(run, "sums binary")
+    if parts > DIRECT_PARTS:
+        found = found.repartition(int(np.ceil(np.sqrt(parts)))).mapInArrow(_added, "sums binary")
+    rows = [np.frombuffer(r["sums"]) for r in found.collect()]
+    shared.unpersist()
+    sizes = [weights.size + 1 for _, weights, _ in asked]
+    total = np.sum(rows, axis=0) if rows else np.zeros(sum(sizes))
+    return np.split(total, np.cumsum(sizes)[:-1])
+
+
+Steps = Generator[np.ndarray, tuple[float, np.ndarray], np.ndarray]
+
+
+def steps(start: np.ndarray, tolerance: float, max_iterations: int, memory: int = 10) -> Steps:
+    """L-BFGS with step halving. Yields the points whose value and gradient it wants, returns the last one."""
     x = start
-    value, gradient = evaluate(x)
+    value, gradient = yield x
     first = np.linalg.norm(gradient)
     pairs: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(max_iterations):
@@ -123,7 +161,7 @@ def minimise(
         step = 1.0 if pairs else min(1.0, 1.0 / np.linalg.norm(gradient))
         for _ in range(40):
             moved = x + step * direction
-            new_value, new_gradient = evaluate(moved)
+            new_value, new_gradient = yield moved
             if new_value <= value + 1e-4 * step * slope:
                 break
             step /= 2
@@ -136,6 +174,21 @@ def minimise(
     return x
 
 
+def minimise(evaluate_all: Callable[[dict[int, np.ndarray]], dict[int, tuple[float, np.ndarray]]], searches: list[Steps]) -> list[np.ndarray]:
+    """Run searches side by side: one evaluation serves the wanted points of all that still move."""
+    found: dict[int, np.ndarray] = {}
+    wanted = {i: next(search) for i, search in enumerate(searches)}
+    while wanted:
+        answers = evaluate_all(wanted)
+        for i, answer in answers.items():
+            try:
+                wanted[i] = searches[i].send(answer)
+            except StopIteration as end:
+                found[i] = end.value
+                del wanted[i]
+    return [found[i] for i in range(len(searches))]
+
+
 def _inverse_hessian_times(pairs, gradient: np.ndarray) -> np.ndarray:
     q = gradient.copy()
     steps = []
@@ -152,18 +205,10 @@ def _inverse_hessian_times(pairs, gradient: np.ndarray) -> np.ndarray:
 
 
 def fit_linear(
-    train: DataFrame,
-    classes: list[str],
-    size: int,
-    loss: Callable,
-    features: str = "features",
-    label: str = "label",
-    cost: float = 1.0,
-    penalise_intercept: bool = False,
-    tolerance: float = 1e-4,
-    max_iterations: int = 2000,
-) -> tuple[np.ndarray, np.ndarray]:
-    """(coefficients, intercepts): one row for two classes, else one row per class."""
+    train: DataFrame, classes: list[str], size: int, problems: list[Problem], features: str = "features", label: str = "label"
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(coefficients, intercepts) of each problem: one row for two classes, else one row per class. Coefficients of
+    positions that a problem does not keep are 0."""
     columns = 1 if len(classes) == 2 else len(classes)
     raw = F.unwrap_udt(features)
     names = F.array(*[F.lit(c) for c in classes])
@@ -172,7 +217,31 @@ def fit_linear(
         raw["indices"].alias("positions"),
         raw["values"].alias("weights"),
     )
-    evaluate = _objective(rows, size, columns, loss, cost, penalise_intercept)
-    weights = minimise(evaluate, np.zeros(columns * (size + 1)), tolerance, max_iterations)
-    weights = weights.reshape(columns, size + 1)
-    return weights[:, :size], weights[:, size]
+    blocks = packed(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    parts = blocks.select(F.spark_partition_id().alias("part")).distinct().count()
+    widths = [size if p.kept is None else len(p.kept) for p in problems]
+
+    def evaluate_all(wanted: dict[int, np.ndarray]) -> dict[int, tuple[float, np.ndarray]]:
+        asked = [(problems[i].loss, x.reshape(columns, -1), problems[i].kept) for i, x in wanted.items()]
+        answers = {}
+        for (i, x), sums in zip(wanted.items(), summed(blocks, asked, size, parts), strict=True):
+            penalised = x.reshape(columns, -1).copy()
+            if not problems[i].penalise_intercept:
+                penalised[:, -1] = 0.0
+            penalised = penalised.ravel()
+            answers[i] = (problems[i].cost * sums[-1] + 0.5 * penalised @ penalised, problems[i].cost * sums[:-1] + penalised)
+        return answers
+
+    try:
+        searches = [steps(np.zeros(columns * (w + 1)), p.tolerance, p.max_iterations) for p, w in zip(problems, widths, strict=True)]
+        out = []
+        for p, x in zip(problems, minimise(evaluate_all, searches), strict=True):
+            x = x.reshape(columns, -1)
+            coefficients = x[:, :-1]
+            if p.kept is not None:
+                coefficients = np.zeros((columns, size))
+                coefficients[:, p.kept] = x[:, :-1]
+            out.append((coefficients, x[:, -1]))
+        return out
+    finally:
+        blocks.unpersist()

@@ -7,7 +7,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlens.operators.classify import MODELS, LinearClassifier, TrainingData, top_terms
+from textlens.operators.classify import MODELS, LinearClassifier, TrainingData, fit_models_together, top_terms
 from textlens.operators.curves import curve_metrics, curve_points
 from textlens.operators.evaluate import (
     class_distribution,
@@ -19,7 +19,7 @@ from textlens.operators.evaluate import (
 from textlens.operators.preparation import cleaned_rows, row_funnel, with_labels
 from textlens.operators.report import best_run, sweep_summary
 from textlens.operators.sampling import exact_sample, stratified_split
-from textlens.operators.selection import best_positions, chi2_from_matrix, slice_vectors
+from textlens.operators.selection import best_positions, chi2_from_matrix
 from textlens.operators.tfidf import TfidfModel, TfidfSettings, fit_tfidf
 
 
@@ -34,7 +34,7 @@ class ClassificationSettings:
     selection_k: int = 0
     test_size: float = 0.2
     seed: int = 42
-    models: tuple[str, ...] = tuple(MODELS)
+    models: tuple[str, ...] = MODELS
 
 
 @dataclass
@@ -86,34 +86,33 @@ class ModelRun:
         return confusion_matrix(self.predictions)
 
 
+def fit_grid(
+    data: TrainTest, k_values: Iterable[int] = (0,), models: Iterable[str] = MODELS, target: str = "negative"
+) -> dict[int, dict[str, ModelRun]]:
+    """For every k: select terms on the training part, fit every model and predict the test part. All fits of all k share
+    each pass over the training rows; a k is a mask on the same vectors. Every k that keeps all terms is the same run."""
+    training, models = data.training_data(), list(models)
+    terms = len(training.terms)
+    kept: dict[int, list[int] | None] = {}
+    for k in k_values:
+        if not 0 < k < terms:
+            kept[0] = None
+        elif k not in kept:
+            counts = [training.class_counts[c] for c in training.classes]
+            kept[k] = best_positions(chi2_from_matrix(training.class_sums(), counts), training.terms, k)
+    wanted = [(k, name) for k in kept for name in models]
+    runs: dict[int, dict[str, ModelRun]] = {k: {} for k in kept}
+    for (k, name), classifier in zip(wanted, fit_models_together(training, [(name, kept[k]) for k, name in wanted]), strict=True):
+        predicted = classifier.predict(data.test, target).select("doc_id", "label", "prediction", "target_score")
+        runs[k][name] = ModelRun(classifier, predicted)
+    return {k: runs[k if 0 < k < terms else 0] for k in k_values}
+
+
 def fit_models(
-    data: TrainTest, selection_k: int = 0, models: Iterable[str] = tuple(MODELS), target: str = "negative"
+    data: TrainTest, selection_k: int = 0, models: Iterable[str] = MODELS, target: str = "negative"
 ) -> dict[str, ModelRun]:
-    """Select terms on the training part, fit every model and predict the test part."""
-    training = data.training_data()
-    test = data.test
-    if 0 < selection_k < len(training.terms):
-        sums = training.class_sums()
-        counts = [training.class_counts[c] for c in training.classes]
-        kept = best_positions(chi2_from_matrix(sums, counts), training.terms, selection_k)
-        training = TrainingData(
-            slice_vectors(training.vectors, kept, "features", "selected").persist(StorageLevel.MEMORY_AND_DISK),
-            training.class_counts,
-            [training.terms[i] for i in kept],
-            features="selected",
-            weight_sums=sums[:, kept],
-        )
-        test = slice_vectors(test, kept, "features", "selected")
-    runs = {}
-    for name in models:
-        classifier = MODELS[name](training)
-        predicted = classifier.predict(test, target).select(
-            "doc_id", "label", "prediction", "target_score"
-        )
-        runs[name] = ModelRun(classifier, predicted)
-    if training.features == "selected":
-        training.vectors.unpersist()
-    return runs
+    """`fit_grid` for one k."""
+    return fit_grid(data, [selection_k], models, target)[selection_k]
 
 
 @dataclass
@@ -232,8 +231,5 @@ def selection_sweep(
     if not ks:
         raise ValueError("Give at least one k value.")
     data = split_and_vectorise(reviews, settings)
-    # Every k that keeps all terms is the same run.
-    terms = len(data.model.terms)
-    runs = {k: fit_models(data, k, settings.models) for k in dict.fromkeys(k if 0 < k < terms else 0 for k in ks)}
-    results = {k: ClassificationResult(settings, data, runs[k if 0 < k < terms else 0]) for k in ks}
-    return SelectionSweep(data, results)
+    runs = fit_grid(data, ks, settings.models)
+    return SelectionSweep(data, {k: ClassificationResult(settings, data, runs[k]) for k in ks})
