@@ -10,14 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textlens.llm.near_dedup import BROADCAST_KEYS, components, shingle_sets
+from textlens.llm.near_dedup import BROADCAST_KEYS, compared, components, shingle_sets
 from textlens.llm.shared import KEY, mix, slices, starts_of, stored, with_key
 
 #: Text bytes that a task turns into segments at a time.
 BATCH_BYTES = 2 << 20
-#: A segment subset shared with more sets of other components than that is costly, and at most so many sets of one
-#: costly subset are compared with all its others in a round.
-COSTLY = 32
+#: A segment subset shared with more sets of other components than that is costly.
+COSTLY = 8
 
 
 class SizeBands:
@@ -155,11 +154,14 @@ def _unordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _pivot_pairs(rows: DataFrame) -> DataFrame:
-    """Each subset's sets with one of them, the one with most such rows."""
+def _pivots(rows: DataFrame) -> DataFrame:
+    """(name, a): one set of each subset, the one with most such rows."""
     central = rows.groupBy("node").agg(F.count("*").alias("central"))
-    heads = rows.join(central, "node").groupBy("name").agg(F.max_by("node", F.struct("central", -F.col("node"))).alias("a"))
-    return rows.join(heads, "name").filter("a != node").select("a", F.col("node").alias("b"))
+    return rows.join(central, "node").groupBy("name").agg(F.max_by("node", F.struct("central", -F.col("node"))).alias("a"))
+
+
+def _with_pivots(rows: DataFrame, pivots: DataFrame) -> DataFrame:
+    return rows.join(pivots, "name").filter("a != node").select("a", F.col("node").alias("b"))
 
 
 def _open(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -262,8 +264,8 @@ def jaccard_join(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame
     of them, so that copies, however many, join components at a comparison each. Where a subset still has several
     components, it costs a node as many comparisons as the subset has nodes of other components. A node needs one more
     segment than a link's largest difference, and takes its cheapest; in place of costly ones it raises others to
-    differences of one element (`_raised`). What is costly even so is compared in full, some nodes a round, until no
-    subset is left.
+    differences of one element (`_raised`). In subsets that are costly even so, nodes meet by what they differ in from
+    the subset's pivot (`_near_a_pivot`).
     """
     bands = SizeBands(percent)
     keyed = with_key(docs.select("doc_id", "text"))
@@ -277,11 +279,12 @@ def jaccard_join(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame
     rows = rows.select("name", "node", low.alias("lower"), F.when(low, F.col("lower_spare")).otherwise(F.col("own_spare")).alias("spare"))
     rows = stored(_may_have_links(_may_have_links(rows)))
     sets = _full_sets(keyed, nodes, rows, size)
-    links = stored(_linked(_unordered(_pivot_pairs(rows)), sets, percent))
+    pivots = stored(_pivots(rows))
+    links = stored(_linked(_unordered(_with_pivots(rows, pivots)), sets, percent))
     labels = components(links)
     rows = _open(rows, labels)
     if not rows.isEmpty():
-        labels = _joined(rows, links, sets, bands)
+        labels = _joined(rows, pivots, links, sets, bands)
     grouped = nodes.select("set", "node", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     heads = grouped.groupBy("label").agg(F.min("least").alias("head"))
     heads = grouped.select("set", "label").join(heads, "label").select("set", F.col("head.doc_id").alias("_first"))
@@ -296,7 +299,38 @@ def _probes(rows: DataFrame) -> DataFrame:
     return counted.filter("nth <= n - spare").drop("nth", "n")
 
 
-def _joined(rows: DataFrame, links: DataFrame, sets: DataFrame, bands: SizeBands) -> DataFrame:
+def _near_a_pivot(left: DataFrame, rows: DataFrame, pivots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of costly probes that are left with sets of other components.
+
+    Both sets have been compared with the subset's pivot. Sets that are not both linked with it can only be linked with
+    each other if they share one of the first elements of their differences to it, those peculiar to the set first (see
+    `compared`). So pairs meet by pivot and such an element, not by subset, and only where enough elements can follow.
+    """
+
+    @F.pandas_udf("first array<long>, size long, n long")
+    def difference(p: pd.Series, x: pd.Series) -> pd.DataFrame:
+        found = [compared(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), percent) for a, b in zip(p, x, strict=True)]
+        return pd.DataFrame({"first": [f.view(np.int64) for _, f, _ in found], "size": [n for _, _, n in found], "n": [len(b) // 8 for b in x]}, columns=["first", "size", "n"])
+
+    names = left.select("name").distinct()
+    groups = _with_pivots(rows.join(names, "name", "left_semi"), pivots).distinct()
+    probing = _with_pivots(left, pivots).distinct().withColumn("probes", F.lit(True))
+    labels = rows.select(F.col("node").alias("b"), "label").distinct()
+    groups = groups.join(probing, ["a", "b"], "left").join(labels, "b")
+    first, second = (sets.withColumnsRenamed({"node": c, "shingles": f"set_{c}"}) for c in "ab")
+    parts = groups.join(first, "a").join(second, "b").select("a", "b", "label", "probes", difference("set_a", "set_b").alias("d"))
+    parts = stored(parts.select("a", "b", "label", "probes", "d.size", "d.n", F.posexplode("d.first").alias("at", "element")))
+    # A pivot of a costly subset may be linked with none of its sets: it has been compared with all of them.
+    x, y = (parts.select("a", "element", *(F.col(c).alias(f"{c}_{side}") for c in ("b", "label", "probes", "size", "n", "at"))) for side in "xy")
+    allowed = F.floor((F.col("n_x") + F.col("n_y")) * (100 - percent) / (100 + percent))
+    enough = 2 * F.least(F.col("size_x") - F.col("at_x"), F.col("size_y") - F.col("at_y")) >= F.col("size_x") + F.col("size_y") - allowed
+    # A pair of probes is met once; other sets are met by probes only.
+    once = F.col("probes_y").isNull() | (F.col("b_x") < F.col("b_y"))
+    met = x.filter("probes_x").join(y, ["a", "element"]).filter((F.col("label_x") != F.col("label_y")) & once & enough)
+    return met.select(F.col("b_x").alias("a"), F.col("b_y").alias("b"))
+
+
+def _joined(rows: DataFrame, pivots: DataFrame, links: DataFrame, sets: DataFrame, bands: SizeBands) -> DataFrame:
     """Components of the links and those found in open rows."""
     probes = stored(_probes(rows))
     cheap, left = probes.filter(F.col("cost") <= COSTLY), probes.filter(F.col("cost") > COSTLY)
@@ -304,16 +338,6 @@ def _joined(rows: DataFrame, links: DataFrame, sets: DataFrame, bands: SizeBands
     if not left.isEmpty():
         more, left = _raised(left, cheap, rows, sets, bands)
         pairs = pairs.union(more)
-    links = stored(links.union(_linked(_unordered(pairs), sets, bands.percent)))
-    labels = components(links)
-    left = left.select("name", "node", "lower")
-    while True:
-        rows = _open(rows, labels)
-        in_turn = Window.partitionBy("name").orderBy("node")
-        left = stored(rows.join(left, ["name", "node", "lower"], "left_semi").withColumn("nth", F.row_number().over(in_turn)))
-        if left.isEmpty():
-            return labels
-        pairs = _partners(left.filter(F.col("nth") <= COSTLY), rows)
-        links = stored(links.union(_linked(_unordered(pairs), sets, bands.percent)))
-        labels = components(links)
-        left = left.filter(F.col("nth") > COSTLY).select("name", "node", "lower")
+        if not left.isEmpty():
+            pairs = pairs.union(_near_a_pivot(left, rows, pivots, sets, bands.percent))
+    return components(stored(links.union(_linked(_unordered(pairs), sets, bands.percent))))
