@@ -1,6 +1,7 @@
 """Plain versions of the operators' contracts, for small tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -177,3 +178,74 @@ def shards(rows, count=24):
         slots[shard] += 1
         before += size
     return sorted(out, key=repr)
+
+
+def spelling(rows, least_letters=6, least_count=5, factor=5, every=199):
+    """Words, their forms and roots, by all deletions of all words."""
+    count = Counter()
+    for d, t in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", t or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if h % every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            count[run] += 1
+    words = {w: n for w, n in count.items() if len(w) >= least_letters and n >= least_count}
+    near, cuts = defaultdict(set), defaultdict(set)
+    for w in words:
+        for i in range(len(w)):
+            cut = w[:i] + w[i + 1 :]
+            cuts[cut, i].add(w)
+            if cut in words:
+                near[w].add(cut)
+                near[cut].add(w)
+    for group in cuts.values():
+        for w in group:
+            near[w] |= group - {w}
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda x: (-words[x], x), default=None)
+        form[w] = best if best is not None and words[best] >= factor * n else None
+
+    def root(w):
+        return w if form[w] is None else root(form[w])
+
+    return sorted(((w, form[w], root(w), n, len(near[w]), words.get(form[w])) for w, n in words.items()), key=repr)
+
+
+def rebuilt(rows, block=20, most=3):
+    """conv_id -> (role, text) turns after the first ones are borrowed."""
+    turns = defaultdict(list)
+    for c, n, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            turns[c].append((n is not None, n or 0, sha(f"{len(role)}:{role}{text}"), (role, text)))
+    turns = {c: [x[-1] for x in sorted(v)] for c, v in turns.items()}
+    out = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % (most + 1)
+        out[c] = tuple(turns.get(c - int(math.fmod(c, block)), [])[:h] + own[h:])
+    return out
+
+
+def prefix_trie(rows):
+    members, ends, below = defaultdict(list), defaultdict(list), defaultdict(list)
+    for c, path in sorted(rebuilt(rows).items()):
+        ends[path].append(c)
+        for d in range(len(path) + 1):
+            members[path[:d]].append(c)
+    for path in members:
+        if path:
+            below[path[:-1]].append(path)
+    leaves, saved = {}, {}
+    for path in sorted(members, key=len, reverse=True):
+        leaves[path] = sum(leaves[x] for x in below[path]) or 1
+        own = (len(members[path]) - 1) * len(WORD.findall(path[-1][1])) if path else 0
+        saved[path] = own + sum(saved[x] for x in below[path])
+    return sorted(
+        (
+            (m[0], len(p), members[p[:-1]][0] if p else None, len(m), len(below[p]), leaves[p], saved[p], sha(",".join(map(str, ends[p]))))
+            for p, m in members.items()
+        ),
+        key=repr,
+    )

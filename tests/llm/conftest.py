@@ -37,4 +37,14 @@ def small_dir(tmp_path_factory, odd, spark):
     odd.coalesce(2).write.parquet(f"{path}/documents.parquet")
     items = [(1, " ".join(f"Shared{i}" for i in range(10, 30))), (2, "one two"), (3, None), (None, "near1 near2"), (4, "..."), (5, "absent " * 20)]
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    spark.createDataFrame(odd_turns(), "conv_id long, turn long, role string, text string").repartition(3).write.parquet(f"{path}/conversations.parquet")
     return str(path)
+
+
+def odd_turns():
+    """Conversations with copies, common starts, nulls, ties, repeated rows, one long one, ids below 0, no lender."""
+    rows = [(c, t, "user" if t % 2 else None, f"turn {t} of {c % 3 if t < 2 else c}") for c in range(60) for t in range(c % 5)]
+    rows += [(c, t, "user", f"the same {t}") for c in range(100, 160) for t in range(6)]
+    rows += [(200, t, "x", "one long conversation " * (t % 3)) for t in range(700)] + [(201, t, "x", "one long conversation " * (t % 3)) for t in range(699)]
+    rows += [(300, None, "a", "b"), (300, None, "b", "a"), (300, 1, "a", "b"), (300, 1, "a", "b"), (300, 1, None, None), (-7, 0, "n", "below"), (-20, 0, "n", "zero"), (None, 0, "no", "id"), (999, 5, "r", " \t\n ")]
+    return rows

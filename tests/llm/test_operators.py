@@ -64,6 +64,23 @@ def test_decontamination(spark, small_dir, odd_rows):
     assert rows_of(run(spark, small_dir, "op10_decontamination"), columns) == brute.contamination(odd_rows, items)
 
 
+def test_pivotal_grams(spark, small_dir, odd_rows):
+    got = rows_of(run(spark, small_dir, "op11_pivotal_grams"), ["word", "form", "root", "n", "n_near", "form_n"])
+    want = brute.spelling(odd_rows)
+    assert got == want and any(r[4] for r in want)
+
+
+def test_jaccard_join(spark, small_dir, odd_rows):
+    got = rows_of(run(spark, small_dir, "op12_jaccard_join"), ["doc_id", "n_shingles", "component_id"])
+    assert got == brute.near_duplicates(odd_rows, 4, 85)
+
+
+def test_prefix_trie(spark, small_dir):
+    turns = [tuple(r) for r in spark.read.parquet(f"{small_dir}/conversations.parquet").collect()]
+    columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    assert rows_of(run(spark, small_dir, "op13_prefix_trie"), columns) == brute.prefix_trie(turns)
+
+
 def test_token_counts(spark, small_dir, odd_rows):
     from textlens.llm.token_counts import WORD, word_end_pieces
 
@@ -109,6 +126,7 @@ def test_packing(spark, small_dir, odd_rows):
 def test_empty_tables(spark, tmp_path, none, name):
     none.write.parquet(f"{tmp_path}/documents.parquet")
     none.withColumnRenamed("doc_id", "item_id").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     assert QUERIES[name](spark, str(tmp_path)).count() == 0
 
 
@@ -120,4 +138,9 @@ def test_extra_columns(spark, tmp_path, name):
     row = (1, "some text of a few words", 5, 6, "s", "n", 7, [1], "k", None, 1.0, 2)
     spark.createDataFrame([row, (2, *row[1:]), (None, None, *[None] * 10)], CLASHES).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, "a b", "x")], "item_id long, text string, doc_id string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    assert QUERIES[name](spark, str(tmp_path)).count() == 3
+    turn = "conv_id long, turn int, role string, text string, bucket string, turns int, path string, words long, mark string, lent int, shard long, node string"
+    turns = [(c, k, "r", f"t {k}", "b", 1, "p", 2, "m", 3, 4, "n") for c in (1, 2) for k in range(2)]
+    spark.createDataFrame(turns, turn).write.parquet(f"{tmp_path}/conversations.parquet")
+    # A word must come five times, and a root has no turn; all else has a row for each document.
+    rows = {"op11_pivotal_grams": 0, "op13_prefix_trie": len(brute.prefix_trie([t[:4] for t in turns]))}
+    assert QUERIES[name](spark, str(tmp_path)).count() == rows.get(name, 3)
