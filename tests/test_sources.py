@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +7,7 @@ from textlens.operators.preparation import binary_labels, cleaned_rows, row_funn
 from textlens.operators.sampling import exact_sample
 from textlens.operators.tfidf import TfidfSettings
 from textlens.plans.retrieval import RetrievalSettings, index_reviews
+from textlens.sources import csv_records
 from textlens.sources.index import load_index, save_index
 from textlens.sources.results import read_csv, read_json, write_csv, write_json
 from textlens.sources.reviews import (
@@ -42,6 +45,39 @@ def test_csv(reviews):
     assert rows["D"]["negative_text"] == ""
 
 
+def _odd_csv(rng, rows):
+    """Records with line breaks, doubled quotes, separators, empty and long fields, CRLF inside quotes."""
+    out = ["id,a b,c\n"]
+    for i in range(rows):
+        field = rng.choice(['plain', '', '"with\nbreak"', '"two ""quotes"" and\n\n""more"""', '",;\r\n"', '"' + "long line\n" * rng.randrange(1, 30) + '"', '""', '" "'])
+        out.append(f"{i},{field},{rng.choice(['x', '', '"y' + chr(10) + 'z"'])}\n")
+        if rng.random() < 0.1:
+            out.append("\n")
+    return "".join(out)
+
+
+@pytest.mark.parametrize("size", ["1g", "200b", "37b"])
+def test_records_do_not_depend_on_byte_ranges(spark, tmp_path, monkeypatch, size):
+    """Many tasks for one file, ranges within one field: the rows of a reader of whole files."""
+    monkeypatch.setattr(csv_records, "BATCH_BYTES", 100)
+    rng = random.Random(7)
+    for k in range(2):
+        (tmp_path / f"part{k}.csv").write_bytes(_odd_csv(rng, 60).encode())
+    (tmp_path / "last.csv").write_bytes(b'id,a b,c\n7,"no break at the end",\xc3\xa9')
+    want = spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(str(tmp_path)).collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        got = csv_records.read_csv_in_ranges(spark, str(tmp_path))
+        if size != "1g":
+            assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
+        assert sorted(map(str, got.drop("file").collect())) == sorted(map(str, want)) and len(want) == 121
+        assert {r["file"] for r in got.select("file").collect()} == {"part0.csv", "part1.csv", "last.csv"}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_labels(reviews):
     assert {r["Hotel_Name"]: r["label"] for r in binary_labels(reviews).collect()} == {
         "A": "positive", "C": "negative", "D": "positive",

@@ -13,6 +13,7 @@ from textlens.functions.text import (
     normalize_whitespace,
     strip,
 )
+from textlens.sources.csv_records import read_csv_in_ranges
 
 TEXT_COLUMNS = ("review_text", "positive_text", "negative_text")
 
@@ -28,24 +29,23 @@ def read_reviews_csv(
 ) -> DataFrame:
     """Reviews from CSV with a header; every column is a string, missing-value strings are null.
 
-    Quoted fields may hold line breaks and doubled quotes. With ``multi_line`` Spark reads one file
-    per task; pass False for files known to have no line breaks in fields, so that large files split.
-    ``doc_id`` is the given id column, or else a hash of the row's file name and content, so it depends
+    Quoted fields may hold line breaks and doubled quotes; large files are read by many tasks all the same (see
+    csv_records.py). With ``multi_line=False``, for files known to have no line breaks in fields, Spark's own reader cuts
+    at lines. ``doc_id`` is the given id column, or else a hash of the row's file name and content, so it depends
     neither on the cluster nor on how files are split. Equal rows of one file have equal ids; draws and
     splits treat them one by one.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
-    columns = [na_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns]
+    if multi_line:
+        raw = read_csv_in_ranges(spark, path)
+        file, names = F.col("file"), raw.columns[1:]
+    else:
+        raw = spark.read.options(header=True, quote='"', escape='"').csv(path)
+        file, names = F.element_at(F.split(F.input_file_name(), "/"), -1), raw.columns
+    columns = [na_to_null(F.col(f"`{c}`")).alias(c) for c in names]
     if id_column:
         return spread(raw.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), *columns))
-    parts = [F.element_at(F.split(F.input_file_name(), "/"), -1)]
-    for c in raw.columns:  # a null differs from every text
+    parts = [file]
+    for c in names:  # a null differs from every text
         parts += [F.col(f"`{c}`").isNull(), F.col(f"`{c}`")]
     return spread(raw.select(F.xxhash64(*parts).alias("doc_id"), *columns))
 
