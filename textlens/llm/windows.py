@@ -89,26 +89,32 @@ class Block:
 
 
 def blocks_of(docs: DataFrame) -> DataFrame:
-    """Documents packed into blocks (block, ids, data, ends), written to the shared folder. Null ids come last of all."""
+    """Documents packed into blocks (block, ids, raw, data, ends), written to the shared folder. `raw` are the doc_ids; `ids`
+    have their order, moved down by one, so that NO_ID is left for null, which comes last of all. (Only the two least
+    64-bit numbers count as one.)"""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", BLOCK_BYTES):
                 texts = part.column("text").fill_null("").cast(pa.binary()).to_pylist()
                 ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
-                ids = part.column("doc_id").fill_null(NO_ID).to_numpy()
-                yield pa.RecordBatch.from_pydict({"ids": [ids], "data": [b"".join(texts)], "ends": [ends]}, schema=BLOCK)
+                raw = part.column("doc_id")
+                ids = raw.fill_null(0).to_numpy()
+                ids = np.where(raw.is_null().to_numpy(zero_copy_only=False), NO_ID, ids - (ids > np.iinfo(np.int64).min))
+                yield pa.RecordBatch.from_pydict({"ids": [ids], "raw": [raw.to_pylist()], "data": [b"".join(texts)], "ends": [ends]}, schema=BLOCK)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stored(rows.mapInArrow(run, "ids array<long>, data binary, ends array<long>").withColumn("block", F.monotonically_increasing_id()))
+    return stored(rows.mapInArrow(run, "ids array<long>, raw array<long>, data binary, ends array<long>").withColumn("block", F.monotonically_increasing_id()))
 
 
-BLOCK = pa.schema([("ids", pa.list_(pa.int64())), ("data", pa.binary()), ("ends", pa.list_(pa.int64()))])
+BLOCK = pa.schema([("ids", pa.list_(pa.int64())), ("raw", pa.list_(pa.int64())), ("data", pa.binary()), ("ends", pa.list_(pa.int64()))])
 
 
 #: An odd base and its inverse modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
+#: Symbols of a run that are hashed as one polynomial.
+PART = 256
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -129,6 +135,20 @@ class RunHashes:
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers(BASE, self.n))])
 
     def of(self, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+        """Long runs are hashed in parts, and the mixed hashes of the parts are added up: modulo 2^64 some long runs, the
+        Thue-Morse strings from 1,024 symbols on, have equal sums whatever the base."""
+        length = np.broadcast_to(length, np.shape(start))
+        out = self._short(start, np.minimum(length, PART))
+        long = np.flatnonzero(length > PART)
+        if len(long):
+            parts = -(-length[long] // PART)
+            offset = PART * ranges(np.zeros(len(long), np.int64), parts)
+            begin = np.repeat(start[long], parts) + offset
+            mixed = mix(self._short(begin, np.minimum(PART, np.repeat(length[long], parts) - offset)) ^ mix(offset.astype(np.uint64), 3), 4)
+            out[long] = np.add.reduceat(mixed, np.cumsum(parts) - parts)
+        return out
+
+    def _short(self, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         return (self.sums[start + length] - self.sums[start]) * powers(INVERSE, self.n + 1)[start]
 
     def all(self, length: int) -> np.ndarray:
@@ -434,7 +454,7 @@ def _results(scheme: Windows, shards: int):
             spans = starts_of(begins)[block.starts]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "doc_id": pa.array(block.ids, mask=block.ids == NO_ID),
+                    "doc_id": row["raw"].values,
                     "n_symbols": pa.array(np.diff(block.starts)),
                     "n_removed": pa.array(np.diff(sums)),
                     "n_spans": pa.array(np.diff(spans)),
