@@ -45,13 +45,19 @@ def with_terms(df: DataFrame, settings: TfidfSettings, text: str = "clean_text",
 
 
 def term_frequencies(df: DataFrame, settings: TfidfSettings, text: str = "clean_text") -> DataFrame:
-    """(doc_id, term, tf) for every term of every document."""
-    terms = with_terms(df.select("doc_id", text), settings, text)
-    return (
-        terms.select("doc_id", F.explode("terms").alias("term"))
-        .groupBy("doc_id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
+    """(doc_id, term, tf) for every term of every row: run lengths of the row's sorted terms, so nothing moves. Rows
+    that share a doc_id are counted each on its own."""
+    rows = with_terms(df.select("doc_id", text), settings, text).select("doc_id", F.array_sort("terms").alias("terms"))
+    last = F.size("terms") - 1
+    # Places where another term begins, and the end.
+    begins = F.filter(F.sequence(F.lit(0), last), lambda i: (i == 0) | (F.get("terms", i) != F.get("terms", i - 1)))
+    rows = rows.filter(last >= 0).select("doc_id", "terms", F.concat(begins, F.array(last + 1)).alias("at"))
+    count = F.size("at") - 1
+    runs = F.transform(
+        F.slice("at", F.lit(1), count),
+        lambda b, k: F.struct(F.get("terms", b).alias("term"), (F.get("at", k + 1) - b).cast("long").alias("tf")),
     )
+    return rows.select("doc_id", F.explode(runs).alias("run")).select("doc_id", "run.term", "run.tf")
 
 
 def term_statistics(df: DataFrame, settings: TfidfSettings, text: str = "clean_text") -> DataFrame:
