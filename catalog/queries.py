@@ -18,11 +18,14 @@ from textlens.functions.text import (
 )
 from textlens.functions.vectors import squared_norm, vector_values
 from textlens.operators import report
-from textlens.operators.classify import top_terms
+from textlens.operators.classify import FITTED, fit_models_together, gradient_norms, top_terms
 from textlens.operators.cluster import (
     assign,
+    center_weights,
+    cluster_costs,
     cluster_sizes,
     cluster_summary,
+    lloyd_step,
     mean_centers,
     mean_weights,
     representatives,
@@ -546,6 +549,57 @@ def kmeans_best_k(spark, sf_dir):
     return best_k(cluster_sweep(t.unscored_reviews(spark, sf_dir), t.CLUSTER_COUNTS, settings)[0])
 
 
+@query
+def kmeans_step_centers(spark, sf_dir):
+    """One Lloyd step from given centers: all weights of the means of the rows nearest to each."""
+    _, model, vectors, centers = language_clusters(spark, sf_dir)
+    moved, _ = lloyd_step(assign(vectors, centers), centers)
+    weights = center_weights(spark, moved, model.position_terms)
+    return weights.select("cluster", "term", r6("weight"))
+
+
+@query
+def kmeans_step_costs(spark, sf_dir):
+    """Cost of each of the given centers and of the centers after a step, rows assigned anew."""
+    _, _, vectors, centers = language_clusters(spark, sf_dir)
+    assigned = assign(vectors, centers)
+    moved, _ = lloyd_step(assigned, centers)
+    costs = [cluster_costs(x).select(F.lit(step).alias("step"), "cluster", "size", r6("cost")) for step, x in enumerate((assigned, assign(vectors, moved)))]
+    return costs[0].unionByName(costs[1])
+
+
+@query
+def kmeans_certificate(spark, sf_dir):
+    """The fit itself has no SQL: its cost, the choice among restarts and that it has settled are worked out anew."""
+    settings = ClusteringSettings(sample_size=None, k=7, tfidf=t.COMPLAINTS)
+    return cluster_complaints(t.unscored_reviews(spark, sf_dir), settings).certificate()
+
+
+@query
+def best_of_given_sweep(spark, sf_dir):
+    """The best k of a given table, with equal scores: mean lengths of the texts of each fifth of the documents."""
+    documents = t.table(spark, sf_dir, "documents")
+    table = documents.groupBy((F.col("doc_id") % 5 + 5).alias("k")).agg(F.round(F.avg("n_chars") / 1000, 0).alias("silhouette_score"), F.count("*").alias("n_documents"))
+    return best_k(table)
+
+
+@query
+def linear_fit_certificates(spark, sf_dir):
+    """Fits in steps have no SQL: the gradient at their weights, worked out with column expressions, has vanished."""
+    data = split_and_vectorise(t.reviews(spark, sf_dir), t.CLASSIFY)
+    training = data.training_data()
+    found = None
+    for model in fit_models_together(training, [(name, None) for name in FITTED]):
+        row = gradient_norms(training, model).select(
+            "model",
+            F.lit(training.n_rows).cast("long").alias("n_train"),
+            F.lit(len(training.terms)).cast("long").alias("n_terms"),
+            (F.col("norm") <= 1.01e-4 * F.col("norm_at_zero")).alias("at_optimum"),
+        )
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 # Search
 
 

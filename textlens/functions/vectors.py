@@ -42,3 +42,15 @@ def with_dot_products(df: DataFrame, features: str, rows: np.ndarray, out: str)
         F.aggregate(vector_values(name), F.lit(0.0), lambda acc, v: acc + v) for name in names
     ]
     return df.select(*columns, F.array(*sums).alias(out))
+
+
+def heaviest(weights: np.ndarray, terms: list[str], n: int, among: np.ndarray | None = None) -> list[int]:
+    """Positions of the n largest weights by their value rounded to 6 places, of equal ones the first terms. Only those
+    that reach the n-th value are sorted."""
+    places = np.arange(len(weights)) if among is None else np.asarray(among, dtype=int)
+    rounded = np.floor(weights[places] * 1e6 + 0.5)
+    if 0 < n < len(places):
+        least = np.partition(rounded, len(rounded) - n)[len(rounded) - n]
+        places, rounded = places[rounded >= least], rounded[rounded >= least]
+    order = sorted(range(len(places)), key=lambda i: (-rounded[i], terms[places[i]]))
+    return [int(places[i]) for i in order[:n]]

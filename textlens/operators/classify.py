@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textlens.functions.vectors import vector_entries, with_dot_products
+from textlens.functions.vectors import heaviest, vector_entries, with_dot_products
 from textlens.operators.linear_fit import Problem, fit_linear, logistic, squared_hinge
 from textlens.operators.selection import class_weight_matrix
 
@@ -194,6 +194,24 @@ def gradient_norms(data: TrainingData, model: LinearClassifier, cost: float = 1.
     )
 
 
+def top_model_terms(spark: SparkSession, model: LinearClassifier, top_n: int = 20) -> DataFrame:
+    """`top_terms` of a fitted model, chosen on its arrays: only the ranked rows leave the driver."""
+    schema = "class_label string, rank int, term string, weight double"
+    if not model.has_term_weights:
+        return spark.createDataFrame([], schema)
+    if len(model.coefficients) == 1:
+        first = model.coefficients[0]
+        sides = [("positive", first, first), ("negative", -first, first)]
+    else:
+        sides = [(name, row, row) for name, row in zip(model.classes, model.coefficients, strict=True)]
+    rows = [
+        (name, rank, model.terms[i], float(weights[i]))
+        for name, wanted, weights in sides
+        for rank, i in enumerate(heaviest(wanted, model.terms, top_n, model.kept), start=1)
+    ]
+    return spark.createDataFrame(rows, schema)
+
+
 def top_terms(weights: DataFrame, n_classes: int, top_n: int = 20) -> DataFrame:
     """(class_label, rank, term, weight): the strongest terms of (class_label, term, weight).
 

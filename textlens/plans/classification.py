@@ -7,7 +7,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlens.operators.classify import MODELS, LinearClassifier, TrainingData, fit_models_together, top_terms
+from textlens.operators.classify import MODELS, LinearClassifier, TrainingData, fit_models_together, top_model_terms
 from textlens.operators.curves import curve_metrics, curve_points
 from textlens.operators.evaluate import (
     class_distribution,
@@ -141,7 +141,7 @@ class ClassificationResult:
         spark = self.data.vectors.sparkSession
         empty = spark.createDataFrame([], "model string, sentiment string, rank int, term string")
         tables = {
-            n: top_terms(r.classifier.term_weights(spark), len(r.classifier.classes), top_n)
+            n: top_model_terms(spark, r.classifier, top_n)
             for n, r in self.runs.items()
             if r.classifier.has_term_weights
         }
