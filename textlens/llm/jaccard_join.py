@@ -174,6 +174,24 @@ def _open(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(found.select("name", "node", "lower", "spare", "label", F.col("main.label").alias("main"), (F.col("every") - F.col("same")).alias("cost")))
 
 
+def _tighter(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Open rows with what can be left out for the sizes there are: a node's largest difference to a link follows from
+    the largest set that shares an open subset with it, not from the largest that might."""
+    nodes = rows.select("node").distinct()
+    if nodes.count() <= BROADCAST_KEYS:
+        nodes = F.broadcast(nodes)
+    known = stored(sizes.join(nodes, "node"))
+    sized = rows.join(known, "node")
+    largest = sized.groupBy("name").agg(F.max("n_shingles").alias("largest"))
+    reach = sized.join(largest, "name").groupBy("node", "lower").agg(
+        F.max("largest").alias("largest"), F.first("n_shingles").alias("n"), F.first(F.when(F.col("lower"), F.col("lower_own")).otherwise(F.col("own"))).alias("segments")
+    )
+    partner = F.least("largest", F.floor(F.col("n") * 100 / percent))
+    most = F.floor((100 - percent) * (F.col("n") + partner) / (100 + percent))
+    reach = reach.select("node", "lower", (F.col("segments") - most - 1).cast("int").alias("spare"))
+    return rows.drop("spare").join(reach, ["node", "lower"]).select(rows.columns)
+
+
 def _partners(probes: DataFrame, rows: DataFrame, on: str = "name") -> DataFrame:
     other = rows.select(on, F.col("node").alias("b"), F.col("label").alias("_other"))
     return probes.join(other, on).filter(F.col("label") != F.col("_other")).select(F.col("node").alias("a"), "b")
@@ -269,12 +287,15 @@ def jaccard_join(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame
     """
     bands = SizeBands(percent)
     keyed = with_key(docs.select("doc_id", "text"))
-    segmented = stored(_segmented(keyed, size, bands))
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *KEY)).alias("least")
-    subsets = ("own", "own_spare", "lower", "lower_spare")
-    nodes = segmented.filter("set IS NOT NULL").groupBy("set").agg(least, *(F.first(c).alias(c) for c in subsets))
-    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()))
-    rows = nodes.select("node", F.size("own").alias("n_own"), "own_spare", "lower_spare", F.posexplode(F.concat("own", "lower")).alias("at", "name"))
+    segmented = stored(_segmented(keyed, size, bands).withColumn("row", F.monotonically_increasing_id()))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *KEY, "row")).alias("least")
+    # A node goes by the row of its least document, whose subsets stand for it.
+    nodes = stored(segmented.filter("set IS NOT NULL").groupBy("set").agg(least).withColumn("node", F.col("least.row")))
+    chosen = nodes.select("node")
+    if nodes.count() <= BROADCAST_KEYS:
+        chosen = F.broadcast(chosen)
+    lists = segmented.join(chosen, segmented["row"] == chosen["node"])
+    rows = lists.select("node", F.size("own").alias("n_own"), "own_spare", "lower_spare", F.posexplode(F.concat("own", "lower")).alias("at", "name"))
     low = F.col("at") >= F.col("n_own")
     rows = rows.select("name", "node", low.alias("lower"), F.when(low, F.col("lower_spare")).otherwise(F.col("own_spare")).alias("spare"))
     rows = stored(_may_have_links(_may_have_links(rows)))
@@ -284,6 +305,8 @@ def jaccard_join(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame
     labels = components(links)
     rows = _open(rows, labels)
     if not rows.isEmpty():
+        sizes = segmented.select(F.col("row").alias("node"), "n_shingles", F.size("own").alias("own"), F.size("lower").alias("lower_own"))
+        rows = stored(_tighter(rows, sizes, percent))
         labels = _joined(rows, pivots, links, sets, bands)
     grouped = nodes.select("set", "node", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     heads = grouped.groupBy("label").agg(F.min("least").alias("head"))
@@ -302,9 +325,10 @@ def _probes(rows: DataFrame) -> DataFrame:
 def _near_a_pivot(left: DataFrame, rows: DataFrame, pivots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of costly probes that are left with sets of other components.
 
-    Both sets have been compared with the subset's pivot. Sets that are not both linked with it can only be linked with
-    each other if they share one of the first elements of their differences to it, those peculiar to the set first (see
-    `compared`). So pairs meet by pivot and such an element, not by subset, and only where enough elements can follow.
+    The subsets whose pivots lie in one component share the pivot of most of them, so that a set meets few. Its sets are
+    compared with it. Two sets that are not both linked with it can only be linked with each other if they share one of
+    the first elements of their differences to it, those peculiar to the set first (see `compared`). So pairs meet by
+    pivot and such an element, not by subset, and only where enough elements can follow.
     """
 
     @F.pandas_udf("first array<long>, size long, n long")
@@ -312,22 +336,25 @@ def _near_a_pivot(left: DataFrame, rows: DataFrame, pivots: DataFrame, sets: Dat
         found = [compared(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), percent) for a, b in zip(p, x, strict=True)]
         return pd.DataFrame({"first": [f.view(np.int64) for _, f, _ in found], "size": [n for _, _, n in found], "n": [len(b) // 8 for b in x]}, columns=["first", "size", "n"])
 
-    names = left.select("name").distinct()
-    groups = _with_pivots(rows.join(names, "name", "left_semi"), pivots).distinct()
-    probing = _with_pivots(left, pivots).distinct().withColumn("probes", F.lit(True))
-    labels = rows.select(F.col("node").alias("b"), "label").distinct()
-    groups = groups.join(probing, ["a", "b"], "left").join(labels, "b")
+    labels = rows.select("node", "label").distinct()
+    named = left.select("name").distinct().join(pivots, "name").join(labels.withColumnsRenamed({"node": "a", "label": "_of"}), "a", "left").withColumn("_of", F.coalesce("_of", "a"))
+    shared = named.groupBy("_of", "a").agg(F.count("*").alias("n")).groupBy("_of").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("pivot"))
+    pivots = stored(named.join(shared, "_of").select("name", F.col("pivot").alias("a"), "_of"))
+    labels = labels.withColumnRenamed("node", "b")
+    groups = _with_pivots(rows.join(pivots.select("name"), "name", "left_semi"), pivots.select("name", "a")).distinct()
+    probing = _with_pivots(left, pivots.select("name", "a")).distinct().withColumn("probes", F.lit(True))
+    groups = stored(groups.join(probing, ["a", "b"], "left").join(labels, "b"))
+    with_pivot = groups.join(pivots.select("a", "_of").distinct(), "a").filter(F.col("label") != F.col("_of")).select("a", "b")
     first, second = (sets.withColumnsRenamed({"node": c, "shingles": f"set_{c}"}) for c in "ab")
     parts = groups.join(first, "a").join(second, "b").select("a", "b", "label", "probes", difference("set_a", "set_b").alias("d"))
     parts = stored(parts.select("a", "b", "label", "probes", "d.size", "d.n", F.posexplode("d.first").alias("at", "element")))
-    # A pivot of a costly subset may be linked with none of its sets: it has been compared with all of them.
     x, y = (parts.select("a", "element", *(F.col(c).alias(f"{c}_{side}") for c in ("b", "label", "probes", "size", "n", "at"))) for side in "xy")
     allowed = F.floor((F.col("n_x") + F.col("n_y")) * (100 - percent) / (100 + percent))
     enough = 2 * F.least(F.col("size_x") - F.col("at_x"), F.col("size_y") - F.col("at_y")) >= F.col("size_x") + F.col("size_y") - allowed
     # A pair of probes is met once; other sets are met by probes only.
     once = F.col("probes_y").isNull() | (F.col("b_x") < F.col("b_y"))
     met = x.filter("probes_x").join(y, ["a", "element"]).filter((F.col("label_x") != F.col("label_y")) & once & enough)
-    return met.select(F.col("b_x").alias("a"), F.col("b_y").alias("b"))
+    return met.select(F.col("b_x").alias("a"), F.col("b_y").alias("b")).union(with_pivot)
 
 
 def _joined(rows: DataFrame, pivots: DataFrame, links: DataFrame, sets: DataFrame, bands: SizeBands) -> DataFrame:
