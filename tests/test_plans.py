@@ -30,6 +30,14 @@ def test_classification_sweep(spark, sf_dir, tmp_path):
     file = next((tmp_path / "result").glob("*.json"))
     tree = json.loads(file.read_text())
     assert tree["config"]["max_features"] == 400 and len(tree["metrics"]) == 3
+    counts, report = tree["dataset"], tree["preprocessing"]
+    assert counts["rows_loaded"] == 150 and sum(counts["label_distribution"].values()) == counts["rows_after_cleaning"]
+    assert report["train_rows"] + report["test_rows"] == counts["rows_after_cleaning"]
+    assert report["rows_dropped"]["by_label_filter"] == counts["rows_loaded"] - counts["rows_after_labeling"]
+    assert report["vectorizer"]["method"] == "tfidf" and report["vectorizer"]["stop_words"] == "english"
+    top = {(x["model"], x["sentiment"]): x["terms"] for x in tree["top_features"]}
+    assert set(top) == {(m, c) for m in ("linear_svm", "logistic_regression") for c in ("negative", "positive")}
+    assert all(len(x) == 20 for x in top.values())
     sweep.data.release()
 
 
@@ -54,6 +62,10 @@ def test_cluster_sweep(spark, sf_dir, tmp_path):
     assert [c["cluster_id"] for c in tree["clusters"]] == ["cluster_0", "cluster_1", "cluster_2"]
     assert tree["n_documents"] == sum(c["size"] for c in tree["clusters"])
     assert all(len(c["top_terms"]) == 12 for c in tree["clusters"])
+    assert tree["dataset"]["rows_after_cleaning"] == tree["dataset"]["n_documents"] == tree["n_documents"]
+    assert tree["preprocessing"]["vectorizer"]["ngram_range"] == [1, 1] and len(tree["preprocessing"]["cleaning_steps"]) == 6
+    row = results[3].certificate().head()
+    assert row["cost_confirmed"] and row["least_of_restarts"] and row["restarts"] == 2
 
 
 def test_retrieval(spark, sf_dir):

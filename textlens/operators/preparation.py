@@ -55,10 +55,12 @@ def check_text_column(text_column: str) -> str:
 def cleaned_rows(df: DataFrame, text_column: str = "review_text") -> DataFrame:
     """Add ``clean_text`` of the chosen text column and drop the rows with no letters left.
 
-    An empty text has no letters either, so one filter does for both.
+    An empty text has no letters either, so one test of the cleaned text does for both. It is made on an array of one
+    text that is then unpacked: a plain filter would be moved below the cleaning with a copy of all its expressions.
     """
     require_columns(df, [check_text_column(text_column)])
-    return df.filter(has_letters(text_column)).withColumn("clean_text", clean_text(text_column))
+    kept = F.filter(F.array(clean_text(text_column)), lambda t: t != "")
+    return df.withColumn("clean_text", F.explode(kept))
 
 
 def row_funnel(df: DataFrame, text_column: str = "review_text", scheme: str | None = "binary") -> DataFrame:

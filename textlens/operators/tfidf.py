@@ -11,7 +11,7 @@ import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, ElementwiseProduct, NGram, Normalizer
 from pyspark.ml.linalg import DenseVector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlens.functions.constants import ENGLISH_STOP_WORDS
@@ -32,6 +32,18 @@ class TfidfSettings:
     stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS
 
 
+def vectorizer_settings(settings: TfidfSettings) -> Column:
+    """The settings as a struct, for reports of runs."""
+    return F.struct(
+        F.lit("tfidf").alias("method"),
+        F.lit("english" if settings.stop_words == ENGLISH_STOP_WORDS else "own").alias("stop_words"),
+        F.array(F.lit(1), F.lit(2 if settings.bigrams else 1)).alias("ngram_range"),
+        F.lit(settings.min_df).alias("min_df"),
+        F.lit(settings.max_df).alias("max_df"),
+        F.lit(settings.max_features).alias("max_features"),
+    )
+
+
 def with_terms(df: DataFrame, settings: TfidfSettings, text: str = "clean_text", out: str = "terms") -> DataFrame:
     """Add the terms of every text: words, and with ``bigrams`` also pairs of words.
 

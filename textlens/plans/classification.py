@@ -20,7 +20,17 @@ from textlens.operators.preparation import cleaned_rows, row_funnel, with_labels
 from textlens.operators.report import best_run, sweep_summary
 from textlens.operators.sampling import exact_sample, stratified_split
 from textlens.operators.selection import best_positions, chi2_from_matrix
-from textlens.operators.tfidf import TfidfModel, TfidfSettings, fit_tfidf
+from textlens.operators.tfidf import TfidfModel, TfidfSettings, fit_tfidf, vectorizer_settings
+
+# What is done to a text, for the report of a run.
+CLEANING_STEPS = (
+    "blank the placeholders of both review parts",
+    "drop rows without the chosen text",
+    "lower case",
+    "keep letters only",
+    "single spaces",
+    "drop rows without letters",
+)
 
 
 @dataclass(frozen=True)
@@ -180,12 +190,29 @@ class ClassificationResult:
             F.lit(self.settings.test_size).alias("test_size"),
             F.lit(self.settings.seed).alias("random_state"),
         )
-        distribution = F.create_map(
-            *[F.lit(v) for item in self.data.class_counts.items() for v in item]
-        )
-        return per_model.select(
-            config.alias("config"), distribution.alias("label_distribution"), "metrics"
+        counts = self.funnel().head()
+        distribution = F.create_map(*[F.lit(v) for item in self.data.class_counts.items() for v in item])
+        kept = ("rows_loaded", "rows_after_labeling", "rows_after_text_filter", "rows_after_cleaning")
+        dataset = F.struct(*(F.lit(counts[c]).alias(c) for c in kept), distribution.alias("label_distribution"))
+        dropped = {"by_label_filter": "dropped_by_label", "by_empty_selected_text": "dropped_by_empty_text", "by_empty_clean_text": "dropped_by_empty_clean_text"}
+        train_rows = sum(self.data.train_counts.values())
+        preprocessing = F.struct(
+            F.lit(self.settings.text_column).alias("text_column"),
+            F.lit(self.settings.label_scheme).alias("label_scheme"),
+            F.array(*map(F.lit, CLEANING_STEPS)).alias("cleaning_steps"),
+            vectorizer_settings(tfidf).alias("vectorizer"),
+            F.struct(*(F.lit(counts[c]).alias(name) for name, c in dropped.items())).alias("rows_dropped"),
+            F.lit(train_rows).cast("long").alias("train_rows"),
+            F.lit(sum(self.data.class_counts.values()) - train_rows).cast("long").alias("test_rows"),
         )
+        # (model, sentiment, terms in order of rank); models without term weights have none.
+        listed = self.top_features().groupBy("model", "sentiment").agg(F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("terms"))
+        listed = listed.select("model", "sentiment", F.transform("terms", lambda x: x["term"]).alias("terms"))
+        spark = self.data.vectors.sparkSession
+        # At most 20 terms a class and model.
+        top = spark.createDataFrame([([tuple(r) for r in listed.orderBy("model", "sentiment").collect()],)], "top_features array<struct<model string, sentiment string, terms array<string>>>")
+        both = per_model.withColumn("one", F.lit(1)).join(F.broadcast(top.withColumn("one", F.lit(1))), "one")
+        return both.select(config.alias("config"), dataset.alias("dataset"), preprocessing.alias("preprocessing"), "metrics", "top_features")
 
 
 def _union(tables: dict[str, DataFrame], tag: str) -> DataFrame:
