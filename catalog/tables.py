@@ -21,8 +21,8 @@ SWEPT = ClassificationSettings(sample_size=None, tfidf=PAIRS, models=("naive_bay
 GRID = ClassificationSettings(sample_size=None, tfidf=PAIRS)
 SAMPLE_SIZE = 150
 SELECTED = 20_000
-# Few enough that terms are left out at every size of the tables.
-FEW = 300
+# The least number of selected terms of the sweep.
+FEW = 5000
 SWEEP = (0, 5000, 10_000, 20_000, 30_000)
 CLUSTER_COUNTS = (5, 6, 7, 8, 9)
 SEARCH_TEXT = "there and onesen in the thing, nounce of ouen reding whst"
