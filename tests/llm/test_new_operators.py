@@ -54,6 +54,14 @@ def test_forms_lead_to_roots_over_many_steps(spark):
         spelling.spelling_variants(got, least_letters=3)
 
 
+def test_variants_in_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = spelling.spelling_variants(docs, every=199)
+    want = brute.spelling([tuple(r) for r in docs.select("doc_id", "text").collect()])
+    assert sorted((tuple(r[c] for c in ("word", "form", "root", "n", "n_near", "form_n")) for r in got.collect()), key=repr) == want
+    assert any(r[1] for r in want) and sum(r[4] for r in want) > 100
+
+
 def test_long_and_odd_words(spark):
     words = ["a" * 30_000, "a" * 30_001, "ÀÉÿabc", "àÉÿabc", "×÷×÷×÷", "aaaaaa", "aaaaab", "aaaaba", "ababab", "bababa"]
     rows = [(i, " ".join([w.upper() if i == 1 and w.isascii() else w for w in words])) for i in range(5)] + [(None, None), (None, "ababab")]
