@@ -120,7 +120,7 @@ _powers: dict[int, np.ndarray] = {}
 
 def powers(base: int, count: int) -> np.ndarray:
     """The first powers of a base modulo 2^64; the longest list so far is kept."""
-    if len(_powers.get(base, ())) < count:
+    if base not in _powers or len(_powers[base]) < count:
         factors = np.full(max(count, 1 << 16), base, np.uint64)
         factors[0] = 1
         _powers[base] = np.cumprod(factors)
