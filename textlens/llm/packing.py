@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,20 +24,21 @@ FULL_ENOUGH = 0.98
 
 
 class PartEncoder:
-    """Token ids of strings without white space, each encoded once as long as it is remembered.
+    """Token ids of strings without white space. Distinct words are encoded once as long as they are remembered.
 
-    Parts of plain Latin letters, digits and signs are cut into the tokenizer's own words here, and only new words go
-    to the library, without its normaliser and splitter, which would leave them as they are. All other parts, and those
-    that may hold a special token, go through the whole tokenizer. A tokenizer with other rules always does all.
+    Parts of plain Latin letters, digits and signs are lowered and cut into the tokenizer's own words by Arrow kernels, a
+    batch at a time, and only new words go to the library, without its normaliser and splitter, which would leave them
+    as they are. All other parts, and those that may hold a special token, go through the whole tokenizer, each as a
+    word of its own. A tokenizer with other rules always does all.
     """
 
     #: The rules for which the short way is the same (fixed values of the file format).
     LOWER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
     WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
-    #: Signs, digits and letters of which the library's rules change nothing but the case.
-    plain = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-    word = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9]+")
+    #: Signs, digits and letters of which the library's rules change nothing but the case, and words of them.
+    PLAIN = "^[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
+    WORD = "('s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9]+)"
 
     def __init__(self, model: str, remembered: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,49 +51,44 @@ class PartEncoder:
         rules["normalizer"], rules["pre_tokenizer"] = None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": False, "use_regex": False}
         self.words = Tokenizer.from_str(json.dumps(rules)) if self.short else self.whole
         self.remembered = remembered
-        self.known: dict[str, list[int]] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.ids, self.sizes = [], []
-
-    def _is_plain(self, x: str) -> bool:
-        return (x.isascii() and x.isprintable() or self.plain.fullmatch(x) is not None) and "<|" not in x
-
-    def _words_of(self, x: str) -> list[str]:
-        """Words of a plain part in lower case."""
-        low = x.lower()
-        if low.isalpha():
-            return [low]
-        if low[:-1].isalpha() and not low[-1].isalnum():
-            return [low[:-1], low[-1]]
-        return self.word.findall(low)
-
-    def _encode(self, parts: list[str]) -> list[list[int]]:
-        cut = [self._words_of(x) if self.short and self._is_plain(x) else None for x in parts]
-        rest = iter(self.whole.encode_batch_fast([x for x, ws in zip(parts, cut, strict=True) if ws is None], add_special_tokens=False))
-        if len(self.known) > self.remembered:
-            self.known = {}
-        ids = self.known
-        words = list({w for ws in cut if ws is not None for w in ws if w not in ids})
-        ids.update((w, x.ids) for w, x in zip(words, self.words.encode_batch_fast(words, add_special_tokens=False), strict=True))
-        return [next(rest).ids if ws is None else ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in ids[w]] for ws in cut]
-
-    def encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Start with no known words and parts."""
+        self.word_slot: dict[str, int] = {}
+        self.part_slot: dict[str, int] = {}
+        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def _slots(self, strings: list[str], tokenizer, slot: dict[str, int]) -> np.ndarray:
+        """Places of the strings' ids among all that are known; new strings are encoded first."""
+        new = [x for x in strings if x not in slot]
+        if new:
+            found = [x.ids for x in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            slot.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new)), strict=True))
+            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, found), np.int64, len(found))])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32)])
+        return np.fromiter(map(slot.__getitem__, strings), np.int64, len(strings))
+
+    def encode(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all parts, one after the other, and their numbers."""
-        if len(self.slot) > self.remembered:
+        if len(self.word_slot) + len(self.part_slot) > self.remembered:
             self.forget()
-        new = [x for x in parts if x not in self.slot]
-        if new:
-            found = self._encode(new)
-            self.slot.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new)), strict=True))
-            self.sizes.extend(map(len, found))
-            self.ids.append(np.fromiter((i for x in found for i in x), np.uint32))
-        self.ids = [np.concatenate(self.ids)] if self.ids else [np.zeros(0, np.uint32)]
-        sizes = np.array(self.sizes, np.int64)
-        at = np.fromiter((self.slot[x] for x in parts), np.int64, len(parts))
-        return self.ids[0][ranges((np.cumsum(sizes) - sizes)[at], sizes[at])], sizes[at]
+        plain = np.zeros(len(parts), bool)
+        if self.short and len(parts):
+            cut = pc.and_not(pc.match_substring_regex(parts, self.PLAIN), pc.match_substring(parts, "<|"))
+            plain = cut.to_numpy(zero_copy_only=False)
+        low = pc.utf8_lower(parts.filter(pa.array(plain)))
+        flat, words = flat_words(pc.replace_substring_regex(low, self.WORD, "\\1 "))
+        codes, distinct = word_codes(flat)
+        counts = np.ones(len(parts), np.int64)
+        counts[plain] = words
+        slots = np.empty(counts.sum(), np.int64)
+        short = np.repeat(plain, counts)
+        slots[short] = self._slots(distinct.to_pylist(), self.words, self.word_slot)[codes]
+        slots[~short] = self._slots(parts.filter(pa.array(~plain)).to_pylist(), self.whole, self.part_slot)
+        lengths = self.sizes[slots]
+        sizes = np.diff(starts_of(lengths)[starts_of(counts)])
+        return self.ids[ranges((np.cumsum(self.sizes) - self.sizes)[slots], lengths)], sizes
 
 
 def token_pieces(docs: DataFrame, tokenizer_file: str, most: int = 2048, end_id: int = 0, with_ids: bool = False) -> DataFrame:
@@ -111,7 +108,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, most: int = 2048, end_id:
             for part in slices(batch, "text", BATCH_BYTES):
                 flat, counts = flat_words(part.column("text"))
                 codes, distinct = word_codes(flat)
-                ids, sizes = encoder.encode(distinct.to_pylist())
+                ids, sizes = encoder.encode(distinct)
                 ids, sizes = np.append(ids, np.uint32(end_id)), np.append(sizes, 1)
                 ends = np.cumsum(counts)
                 codes = np.insert(codes, ends, len(sizes) - 1)  # the end token after each document's last part
