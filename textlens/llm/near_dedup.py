@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlens.llm.shared import KEY, flat_words, mix, ranges, slices, starts_of, stored, string_hashes, with_key, word_codes
@@ -153,14 +153,14 @@ def _packed_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "node long, shingles binary")
 
 
-def compared(p: np.ndarray, x: np.ndarray, percent: int) -> tuple[bool, np.ndarray, int]:
-    """Whether sets p and x are linked, the first elements of their difference, and its size.
+def differences(p: np.ndarray, x: np.ndarray, percent: int) -> tuple[bool, np.ndarray, int]:
+    """Whether sets p and x are linked, their difference (elements outside p by hash, then
+    those of p), and how many of its first elements must hold one that a linked set shares.
 
     Let D(x) be the difference of x and p. Two sets x and y differ in D(x) ^ D(y); if they are linked, that has at most
     (100 - percent) / (100 + percent) of |x| + |y| elements, so D(x) and D(y) must share some if one of the two is not
-    linked with p. In any fixed order, they then share one of the first |D| - o + 1 elements, where o is a lower bound
-    of how many they share. The order is: elements outside p by hash, then those of p. What is peculiar to a copy comes
-    first, so copies of p that have nothing else in common share no such element.
+    linked with p. In any order that is the same for all sets compared with p, they then share one of the first
+    |D| - o + 1 elements, where o is a lower bound of how many they share.
     """
     new, lost = np.setdiff1d(x, p, assume_unique=True), np.setdiff1d(p, x, assume_unique=True)
     common, size = len(x) - len(new), len(new) + len(lost)
@@ -169,7 +169,16 @@ def compared(p: np.ndarray, x: np.ndarray, percent: int) -> tuple[bool, np.ndarr
         shared = (size * (100 + percent) + (100 - percent) * (len(p) - len(x))) // (2 * (100 + percent)) + 1
     else:  # the other one's size is at most 100 / percent of this one's
         shared = size - len(x) * (100 - percent) // percent
-    return linked, np.concatenate([new, lost])[: size - max(1, shared) + 1], size
+    return linked, np.concatenate([new, lost]), size - max(1, shared) + 1
+
+
+def compared(p: np.ndarray, x: np.ndarray, percent: int) -> tuple[bool, np.ndarray, int]:
+    """Whether sets p and x are linked, the first elements of their difference, and its size.
+
+    What is peculiar to a copy comes first, so copies of p that have nothing else in common share no such element.
+    """
+    linked, differ, first = differences(p, x, percent)
+    return linked, differ[:first], len(differ)
 
 
 def _may_link(percent: int, one: str, other: str) -> Column:
@@ -185,11 +194,11 @@ def _may_link(percent: int, one: str, other: str) -> Column:
 
 def _comparison(percent: int):
     def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        found = [compared(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(a, b, strict=True)]
-        columns = zip(*((linked, first.view(np.int64), size, len(y) // 8) for (linked, first, size), y in zip(found, b, strict=True)), strict=True)
-        return pd.DataFrame(dict(zip(("linked", "first", "size", "n"), map(list, columns), strict=False)), columns=["linked", "first", "size", "n"])
+        found = [differences(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(a, b, strict=True)]
+        columns = zip(*((linked, differ.view(np.int64), first, len(y) // 8) for (linked, differ, first), y in zip(found, b, strict=True)), strict=True)
+        return pd.DataFrame(dict(zip(("linked", "differ", "first", "n"), map(list, columns), strict=False)), columns=["linked", "differ", "first", "n"])
 
-    return F.pandas_udf(run, "linked boolean, first array<long>, size long, n long")
+    return F.pandas_udf(run, "linked boolean, differ array<long>, first long, n long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -299,11 +308,19 @@ def _other_pairs(members: DataFrame, percent: int) -> DataFrame:
 
 def _finer_bands(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Bands of the nodes of one pivot that share a first element of their differences and are not all in one component:
-    band, node, n_band (members), label, place of the element, size of the difference, n (size of the set)."""
+    band, node, n_band (members), label, place of the element, size of the difference, n (size of the set).
+
+    Elements are ordered by the number of the pivot's nodes that differ from it by them, rare ones first, so an element
+    that many share makes a band only for nodes with few others. Those of one node make none, but keep their place.
+    """
     named = pairs.join(labels.withColumnRenamed("node", "b"), "b", "left").withColumn("label", F.coalesce("label", "b"))
     split = named.groupBy("a").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("a")
-    rows = named.join(split, "a").select("a", F.col("b").alias("node"), F.col("c.size").alias("size"), F.col("c.n").alias("n"), F.posexplode("c.first").alias("place", "element"))
-    return _still_open(rows.select(F.xxhash64("a", "element").alias("band"), "node", "place", "size", "n"), labels)
+    differ = named.join(split, "a").select("a", F.col("b").alias("node"), F.size("c.differ").cast("long").alias("size"), "c.first", "c.n", F.explode("c.differ").alias("element"))
+    often = differ.groupBy("a", "element").agg(F.count("*").alias("often")).filter("often > 1")
+    own = Window.partitionBy("a", "node")
+    rows = differ.join(often, ["a", "element"]).withColumn("place", F.row_number().over(own.orderBy("often", "element")) - 1 + F.col("size") - F.count("*").over(own))
+    rows = rows.filter("place < first").select(F.xxhash64("a", "element").alias("band"), "node", "place", "size", "n")
+    return _still_open(rows, labels)
 
 
 def _still_open(rows: DataFrame, labels: DataFrame) -> DataFrame:
