@@ -43,19 +43,38 @@ def repeats(words, least):
     return hit
 
 
-def quality(text, least=8, max_covered=0.45, max_longest=100):
+def said_again(words, least):
+    """Positions in windows of `least` words that came before."""
+    seen, hit = set(), set()
+    for i in range(len(words) - least + 1):
+        w = tuple(words[i : i + least])
+        if w in seen:
+            hit.update(range(i, i + least))
+        seen.add(w)
+    return hit
+
+
+def longest_repeat(words):
+    low, high = 0, max(0, len(words) - 1)  # a prefix of a repeat is a repeat
+    while low < high:
+        k = (low + high + 1) // 2
+        low, high = (k, high) if repeats(words, k) else (low, k - 1)
+    return low
+
+
+def quality(text, least=8, max_repeated=0.15, max_longest=100):
     text = text or ""
     words = WORD.findall(text)
     n, repeated, covered = len(words), len(repeats(words, 3)), len(repeats(words, least))
-    longest = max((k for k in range(1, n) if repeats(words, k)), default=0)
+    again, longest = len(said_again(words, least)), longest_repeat(words)
     seen, dup = set(), 0
     for line in text.split("\n"):
         if WORD.search(line):
             dup += line in seen
             seen.add(line)
     failed = n < 50 or 100 * repeated > 50 * n
-    kept = not failed and covered <= max_covered * n and longest <= max_longest
-    return n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, repeated, covered, longest, failed, kept
+    kept = not failed and again <= max_repeated * n and longest <= max_longest
+    return n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, repeated, covered, again, longest, failed, kept
 
 
 def earlier_substrings(rows, size=50):

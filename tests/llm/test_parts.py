@@ -93,9 +93,9 @@ def test_word_suffix_array():
     rng = random.Random(4)
     texts = [[rng.choice("abcd") for _ in range(rng.randint(0, 40))] for _ in range(30)]
     words, counts = np.array([ord(c) for t in texts for c in t], np.int64), np.array([len(t) for t in texts])
-    base, covered, longest = quality.repetition(words, counts, 5)
+    base, covered, again, longest = quality.repetition(words, counts, 5)
     for i, t in enumerate(texts):
-        assert base[i] == len(brute.repeats(t, 3)) and covered[i] == len(brute.repeats(t, 5))
+        assert base[i] == len(brute.repeats(t, 3)) and covered[i] == len(brute.repeats(t, 5)) and again[i] == len(brute.said_again(t, 5))
         assert longest[i] == max((k for k in range(1, len(t)) if brute.repeats(t, k)), default=0)
 
 

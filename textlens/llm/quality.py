@@ -66,12 +66,14 @@ def neighbour_lcp(order: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
     return lcp
 
 
-def repetition(words: np.ndarray, counts: np.ndarray, least: int, base: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each text: words in repeats of at least `base` words, of at least `least` words, and the longest repeat.
+def repetition(words: np.ndarray, counts: np.ndarray, least: int, base: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text: words in repeats of at least `base` words, of at least `least` words, of those the words that are
+    not a first occurrence, and the longest repeat.
 
     The texts' suffixes are ordered together; each text ends in a symbol of its own, so that no common prefix leaves
     a text. The words of a suffix up to its longest common prefix with a neighbour are one occurrence of a
-    maximal repeat (an interval of the prefix array); the union of those spans is what repeats cover.
+    maximal repeat (an interval of the prefix array); the union of those spans is what repeats cover. In an interval of
+    common prefixes of `least` words, all occurrences but the one that comes first in the text say their words again.
     """
     texts = len(counts)
     ends = starts_of(counts + 1)
@@ -88,25 +90,30 @@ def repetition(words: np.ndarray, counts: np.ndarray, least: int, base: int = 3)
     best = np.maximum(lcp, np.concatenate([lcp[1:], [0]]))  # the longest repeat that begins at a suffix
     longest = np.zeros(texts, np.int64)
     np.maximum.at(longest, owner[order], best)
-    covered = []
-    for floor in (base, least):
-        kept = best >= floor
+    interval = np.cumsum(lcp < least)
+    earliest = np.full(len(order) + 1, len(order), np.int64)
+    np.minimum.at(earliest, interval, order)
+    again = order != earliest[interval]
+
+    def union(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         edge = np.zeros(len(symbols) + 1, np.int64)
-        np.add.at(edge, order[kept], 1)
-        np.add.at(edge, order[kept] + best[kept], -1)
-        covered.append(np.bincount(owner, weights=np.cumsum(edge)[:-1] > 0, minlength=texts).astype(np.int64))
-    return covered[0], covered[1], longest
+        np.add.at(edge, starts, 1)
+        np.add.at(edge, starts + sizes, -1)
+        return np.bincount(owner, weights=np.cumsum(edge)[:-1] > 0, minlength=texts).astype(np.int64)
+
+    covered = [union(order[best >= floor], best[best >= floor]) for floor in (base, least)]
+    return *covered, union(order[again], np.full(np.count_nonzero(again), least)), longest
 
 
 def _measures(least: int):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for series in batches:
             batch = pa.RecordBatch.from_arrays([pa.array(series, pa.string(), from_pandas=True)], ["text"])
-            parts = [pd.DataFrame({"n_repeat_words": [], "covered_words": [], "longest_repeat": []}, dtype=np.int64)]
+            parts = [pd.DataFrame({"n_repeat_words": [], "covered_words": [], "repeated_words": [], "longest_repeat": []}, dtype=np.int64)]
             for part in slices(batch, "text", BATCH_BYTES):
                 flat, counts = flat_words(part.column("text"))
-                repeated, covered, longest = repetition(word_codes(flat)[0], counts, least)
-                parts.append(pd.DataFrame({"n_repeat_words": repeated, "covered_words": covered, "longest_repeat": longest}))
+                base, covered, repeated, longest = repetition(word_codes(flat)[0], counts, least)
+                parts.append(pd.DataFrame({"n_repeat_words": base, "covered_words": covered, "repeated_words": repeated, "longest_repeat": longest}))
             yield pd.concat(parts, ignore_index=True)
 
     return run
@@ -114,21 +121,22 @@ def _measures(least: int):
 
 def repetition_measures(text: Column, least: int = 8) -> Column:
     """A struct of n_repeat_words (words in 3-word windows that occur twice), covered_words (words in maximal repeats of
-    at least `least` words) and longest_repeat (words)."""
+    at least `least` words), repeated_words (those of them in windows of `least` words that came before in the text) and
+    longest_repeat (words)."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield from _measures(least)(batches)
 
-    return F.pandas_udf(run, "n_repeat_words long, covered_words long, longest_repeat long")(text)
+    return F.pandas_udf(run, "n_repeat_words long, covered_words long, repeated_words long, longest_repeat long")(text)
 
 
-def with_quality(docs: DataFrame, least: int = 8, max_covered: float = 0.3, max_longest: int = 100, spared: int = 20) -> DataFrame:
+def with_quality(docs: DataFrame, least: int = 8, max_repeated: float = 0.15, max_longest: int = 100) -> DataFrame:
     """Documents with a struct `_quality`: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words,
-    longest_repeat, base_failed, kept.
+    repeated_words, longest_repeat, base_failed, kept.
 
     A text is kept if its base rules hold (at least 50 words, not over half of them in repeated 3-word windows), if
-    repeats of at least `least` words cover at most `max_covered` of its words or at most `spared` words (a line of ten
-    words twice, which is over 30 % of a text of 50 to 66 words only), and if no repeat is longer than `max_longest`
+    at most `max_repeated` of its words repeat what the text has said before (in repeats of at least `least` words, whose
+    first occurrence does not count: of a line that comes twice, one half), and if no repeat is longer than `max_longest`
     words. Each text is judged alone and whole; copies of a text get the same verdict. A null or empty
     text has no words and fails. No column but `text` is read; columns of the same names stay apart in the struct.
     """
@@ -139,7 +147,7 @@ def with_quality(docs: DataFrame, least: int = 8, max_covered: float = 0.3, max_
     measured = docs.withColumn("_repeats", repetition_measures(F.col("text"), least)).withColumn("_words_of", F.size(F.filter(F.split(text, "[ \\t\\n\\x0B\\f\\r]+"), lambda x: F.length(x) > 0)).cast("long"))
     n, r = F.col("_words_of"), F.col("_repeats")
     failed = (n < 50) | (100 * r["n_repeat_words"] > 50 * n)
-    verdict = ((r["covered_words"] <= max_covered * n) | (r["covered_words"] <= spared)) & (r["longest_repeat"] <= max_longest)
+    verdict = (r["repeated_words"] <= max_repeated * n) & (r["longest_repeat"] <= max_longest)
     quality = F.struct(
         n.alias("n_words"),
         F.length(F.translate(text, BLANKS, "")).cast("long").alias("word_chars"),
@@ -147,6 +155,7 @@ def with_quality(docs: DataFrame, least: int = 8, max_covered: float = 0.3, max_
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         r["n_repeat_words"].alias("n_repeat_words"),
         r["covered_words"].alias("covered_words"),
+        r["repeated_words"].alias("repeated_words"),
         r["longest_repeat"].alias("longest_repeat"),
         failed.alias("base_failed"),
         (~failed & verdict).alias("kept"),
