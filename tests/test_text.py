@@ -85,3 +85,13 @@ def test_words(spark):
 
 def test_stop_words_are_sparks(spark):
     assert sorted(ENGLISH_STOP_WORDS) == sorted(StopWordsRemover.loadDefaultStopWords("english"))
+
+
+def test_quick_whitespace_is_the_same_set(spark):
+    """Every character of the plane, between letters and alone: one test of the pattern for long texts."""
+    rows = spark.range(1, 0x10000).selectExpr("cast(id AS int) AS c").filter("c < 55296 OR c > 57343")
+    rows = rows.selectExpr("c", "decode(unhex(lpad(hex(c), 4, '0')), 'UTF-16BE') AS v")
+    quick, fixed = (rows.filter(F.col("v").rlike(p)).select("c").collect() for p in (x.QUICK_WHITESPACE, x.WHITESPACE))
+    assert sorted(quick) == sorted(fixed) and len(quick) == len(x.WHITESPACE_CHARS)
+    # Two alternatives, so that a letter costs two calls and not one for each range.
+    assert x.QUICK_WHITESPACE.count("\\x") <= 2

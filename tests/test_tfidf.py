@@ -71,3 +71,11 @@ def test_fit_moves_terms_only(spark, corpus):
     assert plan.count("Exchange hashpartitioning") == 1
     plan = fit_tfidf(corpus, settings).with_vectors(corpus)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_term_statistics_explode_plain_strings(spark):
+    """Counts of repeated, missing (not counted) and empty texts; no struct is made for a word."""
+    rows = spark.createDataFrame([(1, "room room dirty"), (1, "room room dirty"), (2, ""), (3, None), (4, "zz room")], "doc_id long, clean_text string")
+    stats = term_statistics(rows, TfidfSettings(stop_words=()))
+    assert {r["term"]: (r["df"], r["ctf"]) for r in stats.collect()} == {None: (4, 0), "room": (3, 5), "dirty": (2, 2), "zz": (1, 1)}
+    assert "struct" not in stats._jdf.queryExecution().optimizedPlan().toString()
