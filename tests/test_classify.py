@@ -189,6 +189,40 @@ def test_rows_without_terms_and_empty_parts(spark, binary):
     assert np.allclose(fit_model(spread, "linear_svm").coefficients, fit_model(training, "linear_svm").coefficients, atol=1e-3)
 
 
+def test_scaled_directions_take_fewer_passes(spark, monkeypatch):
+    """A frequent term and rare ones, over more partitions than cores: one sum a core, and the optimum in fewer passes
+    than without scales."""
+    draw = np.random.default_rng(7)
+    rows = []
+    for i in range(3000):
+        rare = draw.choice(np.arange(1, 400), 6, replace=False)
+        rows.append((int(i), "negative" if draw.random() < 0.4 else "positive", [0, *sorted(map(int, rare))], [0.8, *draw.random(6).tolist()]))
+    from pyspark.ml.linalg import SparseVector, VectorUDT
+
+    sparse = F.udf(lambda p, w: SparseVector(400, p, w), VectorUDT())
+    vectors = spark.createDataFrame(rows, "doc_id long, label string, p array<int>, w array<double>").repartition(30)
+    vectors = vectors.select("doc_id", "label", sparse("p", "w").alias("features")).persist()
+    counts = {r["label"]: r["count"] for r in vectors.groupBy("label").count().collect()}
+    training = TrainingData(vectors, counts, [f"t{i:03}" for i in range(400)])
+    seen = []
+    real = linear_fit.summed
+    monkeypatch.setattr(linear_fit, "summed", lambda blocks, asked, size, parts: seen.append(parts) or real(blocks, asked, size, parts))
+    for kind in ("linear_svm", "logistic_regression"):
+        seen.clear()
+        fit = fit_model(training, kind)
+        scaled = len(seen)
+        assert max(seen) <= spark.sparkContext.defaultParallelism
+        row = gradient_norms(training, fit).head()
+        assert row["norm"] <= 1.01e-4 * row["norm_at_zero"]
+        seen.clear()
+        with monkeypatch.context() as plain:
+            whole = linear_fit.steps
+            plain.setattr(linear_fit, "steps", lambda start, tolerance, most, scale=1.0: whole(start, tolerance, most, 10))
+            fit_model(training, kind)
+        assert scaled < len(seen)
+    vectors.unpersist()
+
+
 def test_top_terms(spark):
     def model(classes, coefficients):
         return LinearClassifier(
