@@ -79,3 +79,37 @@ def test_term_statistics_explode_plain_strings(spark):
     stats = term_statistics(rows, TfidfSettings(stop_words=()))
     assert {r["term"]: (r["df"], r["ctf"]) for r in stats.collect()} == {None: (4, 0), "room": (3, 5), "dirty": (2, 2), "zz": (1, 1)}
     assert "struct" not in stats._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_terms_are_counted_by_part_of_text(spark, monkeypatch):
+    """Words end at spaces and with their text, also where parts of a slice of texts are counted one by one; no word is a row."""
+    import pyarrow as pa
+
+    from textlens.functions import words
+
+    texts = ["x", None, "  room a  room", "", "the bed ", "\u00e9 caf\u00e9 \u00e9\u00e9", "bed room the bed room", "b"]
+    whole = pa.array(texts).slice(1, 6)
+    pieces = {}
+    for size in (1, 12, 1 << 20):
+        monkeypatch.setattr(words, "PART_BYTES", size)
+        pieces[size] = [w for part in words.text_parts(whole) for w in zip(*(x.tolist() for x in (words.split_words(part)[0], words.split_words(part)[1].to_numpy(zero_copy_only=False))))]
+        assert [w for _, w in pieces[size]] == [w for t in texts[1:7] if t for w in t.split(" ") if len(w) > 1]
+    assert [r for r, _ in pieces[1 << 20]] == [0, 0, 2, 2, 3, 3, 4, 4, 4, 4, 4]
+    found = words.term_counts(whole.drop_null(), ("the",), True).to_pydict()
+    counts = {t: (d, c) for t, d, c in zip(found["term"], found["df"], found["ctf"])}
+    assert counts[None] == (5, 0) and counts["bed room"] == (1, 2) and counts["room bed"] == (1, 1) and counts["room room"] == (1, 1) and counts["bed"] == (2, 3)
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, clean_text string").repartition(3)
+    settings = TfidfSettings(stop_words=("the",), bigrams=True)
+    stats = term_statistics(rows, settings)
+    assert {r["term"]: (r["df"], r["ctf"]) for r in stats.collect()} == {**counts, None: (7, 0)}
+    assert "Generate" not in stats._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_vectors_of_words_need_no_word_tests(spark, corpus):
+    """Stop words are looked up like all words that the vocabulary lacks; a vocabulary that has some drops them as before."""
+    from textlens.operators.tfidf import TfidfModel
+
+    model = fit_tfidf(corpus, TfidfSettings(1, 1.0, 100))
+    assert "lambda" not in model.with_vectors(corpus)._jdf.queryExecution().optimizedPlan().toString()
+    odd = TfidfModel(TfidfSettings(1, 1.0, 100), 10, ["room", "the"], [4, 2], [7, 3])
+    assert {r["term"] for r in odd.postings(odd.with_vectors(corpus)).collect()} == {"room"}
