@@ -134,3 +134,23 @@ def test_rows_of_found_ids(corpus, monkeypatch, limit):
     wanted = corpus.filter("doc_id IN (3, 7)").select("doc_id")
     wanted = wanted.unionByName(wanted)
     assert sorted(r["doc_id"] for r in rows.only_rows_of(corpus, wanted).collect()) == [3, 7]
+
+
+def test_memory_of_a_task_is_bounded(monkeypatch):
+    """Few postings are added up at a time, with the same results, and ids do not hold on to the batches they came in."""
+    rng = np.random.default_rng(3)
+    weights = rng.random((50, 20)) * (rng.random((50, 20)) < 0.4)
+    asked = rng.random((9, 20)) * (rng.random((9, 20)) < 0.5)
+    at, owner = [np.flatnonzero(r) for r in weights], np.nonzero(asked)
+    kind = pa.list_(pa.int32()), pa.list_(pa.float64())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array([a.tolist() for a in at], kind[0]), pa.array([r[a].tolist() for r, a in zip(weights, at)], kind[1])], names=["doc_id", "positions", "weights"])
+    found = []
+    for most in (1, 40, 1_000_000):
+        monkeypatch.setattr(scoring, "POSTINGS_AT_ONCE", most)
+        best = scoring.Best(scoring.QueryBlock.of(owner[0], owner[1], asked[owner]), 4)
+        for block in scoring.document_blocks([batch.slice(0, 30), batch.slice(30)], np.arange(20)):
+            best.add(block)
+        assert sum(ids.get_total_buffer_size() for ids in best.ids) <= 50 * 8 + 64
+        rows = best.rows().to_pydict()
+        found.append(sorted(zip(rows["number"], rows["doc_id"], rows["score"])))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 9 * 4 + 4
