@@ -235,3 +235,12 @@ def test_top_terms(spark):
     more = model(["x", "y", "z"], np.eye(3, 4))
     got = [(r[0], r[1], r[2]) for r in top_terms(more.term_weights(spark), 3, 1).collect()]
     assert sorted(got) == [("x", 1, "a"), ("y", 1, "b"), ("z", 1, "c")]
+
+
+def test_the_driver_gets_one_array_of_sums(spark):
+    from textlens.operators import linear_fit
+
+    for parts in (1, 5, 40):
+        rows = spark.range(parts, numPartitions=parts).select(F.lit(np.array([1.0, 2.0]).tobytes()).alias("sums"))
+        found = linear_fit.added_up(rows, parts).collect()
+        assert [np.frombuffer(r["sums"]).tolist() for r in found] == [[parts, 2.0 * parts]]
