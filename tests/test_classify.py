@@ -8,6 +8,7 @@ from textlens.operators.selection import (
     best_positions,
     chi2_from_matrix,
     chi2_scores,
+    class_weight_matrix,
     class_weight_sums,
     select_k_best,
     slice_vectors,
@@ -244,3 +245,47 @@ def test_the_driver_gets_one_array_of_sums(spark):
         rows = spark.range(parts, numPartitions=parts).select(F.lit(np.array([1.0, 2.0]).tobytes()).alias("sums"))
         found = linear_fit.added_up(rows, parts).collect()
         assert [np.frombuffer(r["sums"]).tolist() for r in found] == [[parts, 2.0 * parts]]
+
+
+def test_only_kept_positions_are_packed(binary, monkeypatch):
+    """Positions that no model keeps are left out of what each pass reads; the others take one byte each here."""
+    training, _ = binary
+    x, _ = dense(training)
+    read = []
+    real = linear_fit.summed
+
+    def seen(blocks, asked, size, parts):
+        sizes = blocks.selectExpr("length(positions) AS p", "length(weights) AS w", "length(targets) AS t").collect()
+        read.append((size, sum(r["p"] for r in sizes), sum(r["w"] for r in sizes), sum(r["t"] for r in sizes)))
+        return real(blocks, asked, size, parts)
+
+    monkeypatch.setattr(linear_fit, "summed", seen)
+    few, other = [1, 4, 7], [0, 4]
+    for wanted, used in (([few], few), ([few, other], [0, 1, 4, 7]), ([few, None], list(range(x.shape[1])))):
+        read.clear()
+        fits = fit_models_together(training, [("linear_svm", k) for k in wanted])
+        entries = np.count_nonzero(x[:, used])
+        assert set(read) == {(len(used), entries, 8 * entries, 8 * len(x))}
+        for k, fit in zip(wanted, fits, strict=True):
+            alone = fit_model(training, "linear_svm", k)
+            assert np.allclose(fit.coefficients, alone.coefficients, atol=2e-3)
+            assert k is None or np.count_nonzero(np.delete(fit.coefficients, k, axis=1)) == 0
+
+
+def test_place_types():
+    assert [linear_fit.place_type(n) for n in (0, 1, 256, 257, 65_536, 65_537)] == [np.uint8] * 3 + [np.uint16] * 2 + [np.uint32]
+
+
+def test_class_sums_are_added_up_in_tasks(spark, three):
+    """One array a core and none from empty parts; a vector may be dense, and a class may lack rows."""
+    from pyspark.ml.linalg import Vectors
+
+    training, _ = three
+    x, y = dense(training)
+    want = np.array([x[y == c].sum(axis=0) for c in training.classes])
+    for parts in (1, 40):
+        assert np.allclose(class_weight_matrix(training.vectors.repartition(parts), training.classes, x.shape[1]), want)
+    rows = [("b", Vectors.dense([1.0, 0.0, 2.0])), ("a", Vectors.sparse(3, [2], [0.5])), ("b", Vectors.sparse(3, [], [])), ("b", Vectors.sparse(3, [0], [4.0]))]
+    mixed = spark.createDataFrame(rows, ["label", "features"])
+    assert class_weight_matrix(mixed, ["a", "b", "c"], 3).tolist() == [[0, 0, 0.5], [5.0, 0, 2.0], [0, 0, 0]]
+    assert class_weight_matrix(mixed.filter("label = 'x'"), ["a"], 3).tolist() == [[0, 0, 0]]

@@ -5,7 +5,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from catalog import tables as t
 from textlens.operators.tfidf import TfidfSettings
-from textlens.plans.classification import ClassificationSettings, classify, selection_sweep
+from textlens.plans.classification import ClassificationSettings, classify, selection_sweep, split_and_vectorise
 from textlens.plans.clustering import ClusteringSettings, best_k, cluster_sweep
 from textlens.plans.retrieval import RetrievalSettings, find_similar, run_queries
 from textlens.sources.results import write_json
@@ -41,6 +41,30 @@ def test_classification_sweep(spark, sf_dir, tmp_path):
     sweep.data.release()
 
 
+def test_a_text_is_cleaned_once_and_not_kept(spark):
+    """Split, term counts and vectors share the cleaned texts; only the vectors stay, also after a fit that fails."""
+    words = ("clean", "dirty", "quiet", "noisy", "kind", "rude")
+    rows = [(i, "9.6" if i % 2 else "3.3", f"{words[i % 6]} {words[(i * 5 + 1) % 6]} room {i}") for i in range(60)]
+    texts = spark.createDataFrame(rows, "doc_id long, Reviewer_Score string, review_text string").repartition(3)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    kept = spark.sparkContext._jsc.getPersistentRDDs
+    reviews, before = texts.mapInArrow(counted, texts.schema), len(kept())
+    data = split_and_vectorise(reviews, ClassificationSettings(sample_size=None, tfidf=TfidfSettings(1, 1.0, 100)))
+    assert data.vectors.count() == 60 and sum(data.train_counts.values()) == 48
+    assert read.value == 60
+    assert len(kept()) == before + 1
+    data.release()
+    with pytest.raises(ValueError, match="No terms"):
+        split_and_vectorise(reviews, ClassificationSettings(sample_size=None, tfidf=TfidfSettings(48, 1.0, 100, stop_words=("room",))))
+    assert len(kept()) == before
+
+
 def test_three_classes(spark, sf_dir):
     settings = ClassificationSettings(sample_size=None, label_scheme="three_class", tfidf=SMALL, text_column="negative_text")
     result = classify(t.reviews(spark, sf_dir), settings)

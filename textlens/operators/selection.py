@@ -1,11 +1,15 @@
 """Chi-square term selection on real-valued weights."""
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textlens.functions.vectors import vector_entries
+from textlens.functions.vectors import vector_entries, vector_positions, vector_values
+from textlens.operators.linear_fit import added_up
 
 
 def class_weight_sums(vectors: DataFrame, label: str = "label", features: str = "features") -> DataFrame:
@@ -20,12 +24,30 @@ def class_weight_sums(vectors: DataFrame, label: str = "label", features: str =
 def class_weight_matrix(
     vectors: DataFrame, classes: list[str], size: int, label: str = "label", features: str = "features"
 ) -> np.ndarray:
-    """The same sums as a classes-by-terms array on the driver: the size of a fitted model."""
-    matrix = np.zeros((len(classes), size))
-    place = {c: i for i, c in enumerate(classes)}
-    for row in class_weight_sums(vectors, label, features).collect():
-        matrix[place[row["label"]], row["position"]] = row["weight_sum"]
-    return matrix
+    """The same sums as a classes-by-terms array on the driver: the size of a fitted model. Each task adds up its own rows
+    in one such array."""
+    names = F.array(*[F.lit(c) for c in classes])
+    rows = vectors.select(
+        (F.array_position(names, F.col(label)).cast("int") - 1).alias("target"),
+        vector_positions(features).alias("positions"),
+        vector_values(features).alias("weights"),
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(classes) * size)
+        for batch in batches:
+            target, at, values = (batch.column(c) for c in ("target", "positions", "weights"))
+            first = target.to_numpy(zero_copy_only=False).astype(np.int64) * size
+            cells = np.repeat(first, at.value_lengths().to_numpy(zero_copy_only=False)) + at.flatten().to_numpy(zero_copy_only=False)
+            total += np.bincount(cells, weights=values.flatten().to_numpy(zero_copy_only=False), minlength=len(total))
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    # One array a core, however many parts the table has.
+    cores = max(1, vectors.sparkSession.sparkContext.defaultParallelism)
+    sums = added_up(rows.coalesce(cores).mapInArrow(run, "sums binary"), cores)
+    total = sum((np.frombuffer(r["sums"]) for r in sums.collect()), np.zeros(len(classes) * size))
+    return total.reshape(len(classes), size)
 
 
 def chi2_scores(term_sums: DataFrame, class_counts: DataFrame) -> DataFrame:
