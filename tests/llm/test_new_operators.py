@@ -62,6 +62,18 @@ def test_variants_in_documents(spark, sf_dir):
     assert any(r[1] for r in want) and sum(r[4] for r in want) > 100
 
 
+def test_words_and_keys_are_not_broadcast(spark):
+    """Spark takes the keys to be as large as the stored words, which are few here."""
+    words = spark.createDataFrame([("abcdef", 30), ("abcdeg", 5), ("uvwxyz", 7)], "word string, n long")
+    docs = spark.createDataFrame([(1, "abcdef " * 30 + "abcdeg " * 5)], "doc_id long, text string")
+    near, found = spelling.near_words(words), spelling.spelling_variants(docs)
+    for df in (near, found):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan and "Broadcast" not in plan
+    assert {(r["word"], r["near"]) for r in near.collect()} == {("abcdef", "abcdeg"), ("abcdeg", "abcdef")}
+    assert {(r["word"], r["root"]) for r in found.collect()} == {("abcdef", "abcdef"), ("abcdeg", "abcdef")}
+
+
 def test_long_and_odd_words(spark):
     words = ["a" * 30_000, "a" * 30_001, "ÀÉÿabc", "àÉÿabc", "×÷×÷×÷", "aaaaaa", "aaaaab", "aaaaba", "ababab", "bababa"]
     rows = [(i, " ".join([w.upper() if i == 1 and w.isascii() else w for w in words])) for i in range(5)] + [(None, None), (None, "ababab")]

@@ -126,6 +126,9 @@ def near_words(words: DataFrame) -> DataFrame:
     the gram leaves its place from the left, and one on the left its place from the right; all on the other side is then
     equal, and the edit spares one half of its own side. All that is in the joined key, so that few pairs are left to
     verify. A hot gram alone is never a key.
+
+    The join is a shuffle: Spark takes a table of keys to be as large as the words it comes from, which is dozens of
+    times too low, and would broadcast it.
     """
     spark = words.sparkSession
     words = stored(words)
@@ -138,17 +141,18 @@ def near_words(words: DataFrame) -> DataFrame:
     index, probes = (words.mapInArrow(partial(keys, pivots=p), "key long, word string, n long") for p in (False, True))
     index = index.select("key", F.col("word").alias("near"), F.col("n").alias("near_n"))
     apart = (F.col("word") != F.col("near")) & (F.abs(F.length("word") - F.length("near")) <= 1)
-    found = probes.join(index, "key").filter(apart & (F.levenshtein("word", "near", 1) == 1)).select("word", "n", "near", "near_n")
+    found = probes.join(index.hint("merge"), "key").filter(apart & (F.levenshtein("word", "near", 1) == 1)).select("word", "n", "near", "near_n")
     return found.union(found.select("near", "near_n", "word", "n")).distinct()
 
 
 def roots(forms: DataFrame) -> DataFrame:
     """(word, root) of (word, form): the last word that forms lead to. Each round doubles the steps that a word has
-    gone, so their number is the logarithm of the longest way. Forms must not lead in a circle."""
+    gone, so their number is the logarithm of the longest way. Forms must not lead in a circle. Joined by shuffles: the
+    size of a stored table is that of its compressed file, in memory a broadcast takes many times that."""
     now = stored(forms.select("word", F.coalesce("form", "word").alias("root")))
     while True:
         further = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        gone = stored(now.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"), (F.col("next") != F.col("root")).alias("moved")))
+        gone = stored(now.join(further.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), (F.col("next") != F.col("root")).alias("moved")))
         now = gone.select("word", "root")
         if gone.filter("moved").isEmpty():
             return now
@@ -170,7 +174,7 @@ def spelling_variants(docs: DataFrame, least_letters: int = 6, least_count: int
     best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near"))).alias("best")
     near = near_words(words).groupBy("word").agg(F.count("*").alias("n_near"), best)
     near = near.select("word", "n_near", F.col("best.near").alias("near"), (-F.col("best.less")).alias("near_n"))
-    joined = words.join(near, "word", "left")
+    joined = words.join(near.hint("merge"), "word", "left")
     frequent = F.col("near_n") >= factor * F.col("n")
     formed = stored(joined.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(frequent, F.col("near")).alias("form"), F.when(frequent, F.col("near_n")).alias("form_n")))
-    return formed.join(roots(formed), "word").select("word", "form", "root", "n", "n_near", "form_n")
+    return formed.join(roots(formed).hint("merge"), "word").select("word", "form", "root", "n", "n_near", "form_n")
