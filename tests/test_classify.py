@@ -289,3 +289,45 @@ def test_class_sums_are_added_up_in_tasks(spark, three):
     mixed = spark.createDataFrame(rows, ["label", "features"])
     assert class_weight_matrix(mixed, ["a", "b", "c"], 3).tolist() == [[0, 0, 0.5], [5.0, 0, 2.0], [0, 0, 0]]
     assert class_weight_matrix(mixed.filter("label = 'x'"), ["a"], 3).tolist() == [[0, 0, 0]]
+
+
+def test_packed_cells_stay_small(spark, monkeypatch):
+    """A batch of rows is cut: cells do not grow with it. A row of many entries is whole, rows without any stay."""
+    monkeypatch.setattr(linear_fit, "BLOCK_ENTRIES", 50)
+    counts = [3, 0, 7] * 40 + [400, 0, 0, 5] + [1] * 100
+    data = [(i % 2, list(range(n)), [float(i + 1)] * n) for i, n in enumerate(counts)]
+    rows = spark.createDataFrame(data, "target int, positions array<int>, weights array<double>").coalesce(1)
+    blocks = linear_fit.packed(rows, 400)
+    sizes = [len(r["weights"]) // 8 for r in blocks.collect()]
+    assert max(sizes) <= 400 + 50 and sum(n > 100 for n in sizes) <= 1 and sum(sizes) == sum(counts)
+    x = np.zeros((len(counts), 400))
+    for i, n in enumerate(counts):
+        x[i, :n] = i + 1
+    weights = np.linspace(-0.01, 0.01, 401)[None, :]
+    value, slope = linear_fit.squared_hinge((x @ weights[0, :-1] + weights[0, -1])[:, None], np.array([t for t, _, _ in data]))
+    for pass_entries in (1, 1 << 20):
+        monkeypatch.setattr(linear_fit, "PASS_ENTRIES", pass_entries, raising=False)
+        total = linear_fit.summed(blocks, [(linear_fit.squared_hinge, weights, None)], 400, 1)[0]
+        assert np.allclose(total, np.concatenate([slope[:, 0] @ x, [slope.sum(), value]]))
+    assert np.allclose(linear_fit.squared_sums(blocks, 400), np.append((x**2).sum(axis=0), len(counts)))
+
+
+def test_blocks_are_put_together(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(linear_fit, "PASS_ENTRIES", 4)
+    parts = [([0], [2], [1, 2], [0.5, 1.0]), ([1, 0], [0, 3], [0, 1, 2], [1.0, 2.0, 3.0]), ([1], [0], [], [])]
+    kinds = (np.int64, np.int64, np.uint8, float)
+    columns = [pa.array([np.array(p[c], kind).tobytes() for p in parts], pa.binary()) for c, kind in enumerate(kinds)]
+    found = [[x.tolist() for x in block] for block in linear_fit.blocks_of(pa.RecordBatch.from_arrays(columns, ["targets", "ends", "positions", "weights"]), 3)]
+    assert found == [[[0, 1, 0], [2, 2, 5], [1, 2, 0, 1, 2], [0.5, 1.0, 1.0, 2.0, 3.0]], [[1], [0], [], []]]
+
+
+def test_vectors_of_a_classification_are_kept_on_disk(spark, sf_dir):
+    from catalog import tables
+    from textlens.plans.classification import split_and_vectorise
+
+    data = split_and_vectorise(tables.reviews(spark, sf_dir), tables.CLASSIFY)
+    level = data.vectors.storageLevel
+    assert level.useDisk and not level.useMemory
+    data.release()

@@ -75,16 +75,17 @@ class TrainTest:
 def split_and_vectorise(reviews: DataFrame, settings: ClassificationSettings = ClassificationSettings()) -> TrainTest:
     """Sample, label, filter, split, and weigh the terms. Sampling comes before labels and filters.
 
-    The split, the fit and the vectors each read the cleaned texts: these are kept until the vectors are.
+    The split, the fit and the vectors each read the cleaned texts: these are kept until the vectors are. Both are read a few
+    times in turn and so kept on disk; in memory they would fill the executors' heaps.
     """
     sampled = exact_sample(reviews, settings.sample_size, settings.seed)
     rows = cleaned_rows(with_labels(sampled, settings.label_scheme), settings.text_column)
-    rows = rows.select("doc_id", "label", "clean_text").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.select("doc_id", "label", "clean_text").persist(StorageLevel.DISK_ONLY)
     try:
         split, counts = stratified_split(rows, settings.test_size, settings.seed)
         model = fit_tfidf(split.filter(~F.col("is_test")), settings.tfidf)
         vectors = model.with_vectors(split).select("doc_id", "label", "is_test", "features")
-        vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+        vectors = vectors.persist(StorageLevel.DISK_ONLY)
         train_counts = {
             r["label"]: r["count"] for r in vectors.filter(~F.col("is_test")).groupBy("label").count().collect()
         }
